@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from waybill.operators.claim import KEY
 
 LOG_SCHEMA = (
-    "queueName string, messageIdHex string, attempt int, outcome string, ts timestamp, batchId bigint"
+    "queueName string, messageIdHex string, ts timestamp, outcome string, batchId bigint, attempt int"
 )
+_PARTITIONS = ["outcome", "batchId", "attempt"]
 
 
 def settle(batch: DataFrame, batch_id: int, outcome: str, at: Column) -> DataFrame:
@@ -24,15 +25,24 @@ def settle(batch: DataFrame, batch_id: int, outcome: str, at: Column) -> DataFra
 
 
 def append_log(entries: DataFrame, path: str) -> None:
-    """Write log rows under their ``batchId``. Writing a batch again replaces it, so a replay adds nothing."""
+    """Write log rows under their outcome, batch and attempt.
+
+    Writing the same outcome of a batch again replaces it, so a replay adds nothing, while an earlier
+    attempt of the batch stays on record. Readers of one outcome skip the files of the other.
+    """
     (
         entries.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batchId")
+        .partitionBy(*_PARTITIONS)
         .parquet(path)
     )
 
 
+def init_log(spark: SparkSession, path: str) -> None:
+    """Create an empty log where there is none."""
+    spark.createDataFrame([], LOG_SCHEMA).write.mode("ignore").partitionBy(*_PARTITIONS).parquet(path)
+
+
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LOG_SCHEMA).parquet(path)
 
