@@ -8,7 +8,7 @@ from xml.parsers import expat
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
+from pyspark.sql.types import DataType, StringType
 
 from waybill.functions.charset import trimmed
 
@@ -89,7 +89,7 @@ def _xml_to_json(text: str | None) -> str | None:
     return json.dumps(document.root(), ensure_ascii=False)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def xml_json(text: pd.Series) -> pd.Series:
     """``{root: value}`` of each XML document as JSON text; null for malformed or missing text.
 

@@ -5,8 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
+import waybill
+
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # EBCDIC / code page charsets in decode(), and U+FFFD instead of an error on malformed bytes.
@@ -24,6 +27,8 @@ RUNTIME_CONF = {
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else built."""
+    # Executors need not have this package installed: its functions travel with the tasks.
+    cloudpickle.register_pickle_by_value(waybill)
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     return spark

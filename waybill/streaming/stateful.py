@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -44,7 +44,7 @@ def throttle_stream(
 
 
 def counter_stream(messages: DataFrame, window: str, delay: str) -> DataFrame:
-    """Received messages and bytes per queue and time window, emitted when a window closes."""
+    """Received messages and bytes per queue and time window; state is kept for ``delay`` of event time."""
     return (
         messages.withWatermark("timestamp", delay)
         .groupBy(F.window("timestamp", window), "queueName")
@@ -59,3 +59,30 @@ def counter_stream(messages: DataFrame, window: str, delay: str) -> DataFrame:
             "bytesReceived",
         )
     )
+
+
+_COUNTERS = "queueName string, windowStart bigint, messagesReceived bigint, bytesReceived bigint, batch bigint"
+
+
+def write_counters(counters: DataFrame, path: str) -> StreamingQuery:
+    """Write the windows each micro-batch changed, under its id."""
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/changed/batch={batch_id}")
+
+    return (
+        counters.writeStream.outputMode("update")
+        .foreachBatch(on_batch)
+        .option("checkpointLocation", f"{path}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def read_counters(spark: SparkSession, path: str) -> DataFrame:
+    """The newest value of every window."""
+    changed = spark.read.schema(_COUNTERS).parquet(f"{path}/changed")
+    newest = changed.groupBy("queueName", "windowStart").agg(
+        F.max_by(F.struct("messagesReceived", "bytesReceived"), "batch").alias("c")
+    )
+    return newest.select("queueName", "windowStart", "c.*")
