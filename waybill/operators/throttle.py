@@ -15,10 +15,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waybill.operators.ordered import first_n
+from waybill.session import materialize
 
 KEY = ["queueName", "_ms"]
 SECOND = 1000
-SEGMENT_MS = 3_600_000  # at most 3.6 million distinct milliseconds in one pandas group
+SEGMENT_MS = 3_600_000  # at most 3.6 million distinct milliseconds are held at a time
 BROADCAST_QUEUES = 100_000
 
 
@@ -27,29 +28,55 @@ def _next_start(times: np.ndarray, window_ms: int) -> np.ndarray:
     return np.searchsorted(times, times + window_ms)
 
 
+def _segments(batches: Iterator[pd.DataFrame]) -> Iterator[list[tuple]]:
+    """Whole (queue, segment) groups out of sorted batches, as many at a time as a batch completes.
+
+    A group is (queue, segment, {column: values}).
+    """
+    open_key, open_parts = None, []
+
+    def group() -> tuple:
+        columns = {c: [part[c] for part in open_parts] for c in open_parts[0]}
+        return (*open_key, {c: v[0] if len(v) == 1 else np.concatenate(v) for c, v in columns.items()})
+
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        queue, segment = pdf["queueName"].to_numpy(), pdf["_segment"].to_numpy()
+        values = {c: pdf[c].to_numpy() for c in pdf.columns[2:]}
+        cuts = np.flatnonzero((queue[1:] != queue[:-1]) | (segment[1:] != segment[:-1])) + 1
+        done = []
+        for start, stop in zip([0, *cuts], [*cuts, len(pdf)]):
+            key = (queue[start], segment[start])
+            if open_parts and key != open_key:
+                done.append(group())
+                open_parts = []
+            open_key = key
+            open_parts.append({c: v[start:stop] for c, v in values.items()})
+        yield done
+    if open_parts:
+        yield [group()]
+
+
 def _transitions(window_ms: int, segment_ms: int):
-    def segment(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        """Last window start of this segment for every time its first window can start at."""
-        times = np.sort(pdf["_ms"].to_numpy())
-        following = _next_start(times, window_ms)
-        last = np.where(following < len(times), following, np.arange(len(times)))
-        while not np.array_equal(last, last[last]):
-            last = last[last]
-        head = np.searchsorted(times, key[1] * segment_ms + window_ms)
-        entries = times[: head + 1]
-        exits = times[last[: len(entries)]]
-        keep = np.append(exits[1:] != exits[:-1], True)  # equal exits: the latest entry stands for all
-        return pd.DataFrame(
-            {
-                "queueName": [key[0]],
-                "_segment": [key[1]],
-                "_first": [times[0]],
-                "_entries": [entries[keep]],
-                "_exits": [exits[keep]],
-            }
-        )
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Last window start of each segment for every time its first window can start at."""
+        for groups in _segments(batches):
+            rows = []
+            for queue, segment, columns in groups:
+                times = columns["_ms"]
+                following = _next_start(times, window_ms)
+                last = np.where(following < len(times), following, np.arange(len(times)))
+                while not np.array_equal(last, last[last]):
+                    last = last[last]
+                head = np.searchsorted(times, segment * segment_ms + window_ms)
+                entries = times[: head + 1]
+                exits = times[last[: len(entries)]]
+                keep = np.append(exits[1:] != exits[:-1], True)  # equal exits: the latest entry stands for all
+                rows.append((queue, segment, times[0], entries[keep], exits[keep]))
+            yield pd.DataFrame(rows, columns=["queueName", "_segment", "_first", "_entries", "_exits"])
 
-    return segment
+    return run
 
 
 def _chain(window_ms: int):
@@ -62,13 +89,10 @@ def _chain(window_ms: int):
                 if row[0] != queue:
                     queue, opened = row[0], None if pd.isna(row[5]) else int(row[5])
                 handed.append(opened)
-                if opened is None:
-                    opened = row[2] - window_ms
-                at = np.searchsorted(row[3], opened + window_ms)
+                earliest = row[2] if opened is None else opened + window_ms
+                at = np.searchsorted(row[3], earliest)
                 if at < len(row[3]):
                     opened = int(row[4][at])
-                elif handed[-1] is None:
-                    opened = None
             yield pd.DataFrame(
                 {"queueName": pdf["queueName"], "_segment": pdf["_segment"], "_open": pd.array(handed, dtype="Int64")}
             )
@@ -77,22 +101,27 @@ def _chain(window_ms: int):
 
 
 def _assign(window_ms: int):
-    def segment(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Window start of every millisecond of one segment, given the window open at its start."""
-        pdf = pdf.sort_values("_ms")
-        times, opened = pdf["_ms"].to_numpy(), pdf["_open"].iloc[0]
-        following = _next_start(times, window_ms)
-        at = 0 if pd.isna(opened) else int(np.searchsorted(times, int(opened) + window_ms))
-        starts = [] if pd.isna(opened) else [int(opened)]
-        while at < len(times):
-            starts.append(int(times[at]))
-            at = following[at]
-        window = np.array(starts)[np.maximum(np.searchsorted(starts, times, side="right") - 1, 0)]
-        return pd.DataFrame(
-            {"queueName": pdf["queueName"], "_ms": times, "_arrived": pdf["_arrived"], "_window": window}
-        )
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Window start of every millisecond of a segment, given the window open at its start."""
+        for groups in _segments(batches):
+            parts = []
+            for queue, _, columns in groups:
+                times, opened = columns["_ms"], columns["_open"][0]
+                following = _next_start(times, window_ms)
+                fresh = pd.isna(opened)
+                at = 0 if fresh else int(np.searchsorted(times, int(opened) + window_ms))
+                starts = [] if fresh else [int(opened)]
+                while at < len(times):
+                    starts.append(int(times[at]))
+                    at = following[at]
+                place = np.maximum(np.searchsorted(starts, times, side="right") - 1, 0)
+                parts.append((np.full(len(times), queue), times, columns["_arrived"], np.array(starts)[place]))
+            if parts:
+                yield pd.DataFrame(
+                    dict(zip(["queueName", "_ms", "_arrived", "_window"], map(np.concatenate, zip(*parts))))
+                )
 
-    return segment
+    return run
 
 
 def _refill_windows(arrivals: DataFrame, window_ms: int, carry: DataFrame | None) -> DataFrame:
@@ -102,10 +131,16 @@ def _refill_windows(arrivals: DataFrame, window_ms: int, carry: DataFrame | None
     maps are chained per queue, and the segments are then laid out in parallel.
     """
     segment_ms = max(SEGMENT_MS, window_ms)
-    segmented = arrivals.withColumn("_segment", F.floor(F.col("_ms") / segment_ms))
-    maps = segmented.groupBy("queueName", "_segment").applyInPandas(
-        _transitions(window_ms, segment_ms),
-        "queueName string, _segment bigint, _first bigint, _entries array<bigint>, _exits array<bigint>",
+    segment = F.floor(F.col("_ms") / segment_ms).alias("_segment")
+    segmented = arrivals.select("queueName", segment, "_ms", "_arrived")
+    key = ["queueName", "_segment"]
+    maps = (
+        segmented.repartition(*key)
+        .sortWithinPartitions(*key, "_ms")
+        .mapInPandas(
+            _transitions(window_ms, segment_ms),
+            "queueName string, _segment bigint, _first bigint, _entries array<bigint>, _exits array<bigint>",
+        )
     )
     if carry is None:
         maps = maps.withColumn("_opened", F.lit(None).cast("bigint"))
@@ -113,13 +148,14 @@ def _refill_windows(arrivals: DataFrame, window_ms: int, carry: DataFrame | None
         maps = maps.join(carry.select("queueName", F.col("windowStart").alias("_opened")), "queueName", "left")
     opened = (
         maps.repartition("queueName")
-        .sortWithinPartitions("queueName", "_segment")
+        .sortWithinPartitions(*key)
         .mapInPandas(_chain(window_ms), "queueName string, _segment bigint, _open bigint")
     )
     return (
-        segmented.join(opened, ["queueName", "_segment"])
-        .groupBy("queueName", "_segment")
-        .applyInPandas(_assign(window_ms), "queueName string, _ms bigint, _arrived bigint, _window bigint")
+        segmented.join(opened, key, "left")  # every segment is there; an inner join would read the log twice
+        .repartition(*key)
+        .sortWithinPartitions(*key, "_ms")
+        .mapInPandas(_assign(window_ms), "queueName string, _ms bigint, _arrived bigint, _window bigint")
     )
 
 
@@ -137,7 +173,8 @@ def bucket_windows(
     """
     small = limits.limit(BROADCAST_QUEUES + 1).count() <= BROADCAST_QUEUES
     arrivals = (
-        messages.select("queueName", F.unix_millis("timestamp").alias("_ms"))
+        messages.filter(F.col("timestamp").isNotNull())
+        .select("queueName", F.unix_millis("timestamp").alias("_ms"))
         .join(F.broadcast(limits.select("queueName")) if small else limits.select("queueName"), "queueName", "left_semi")
         .groupBy(*KEY)
         .agg(F.count("*").alias("_arrived"))
@@ -165,14 +202,17 @@ def throttle(
     window_ms: int = SECOND,
     aligned: bool = False,
     carry: DataFrame | None = None,
+    buckets: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``granted``: whether the message gets a token. Queues without a limit are always granted.
 
     The bucket is refilled in full by the first message at least ``window_ms`` after the last refill;
     with ``aligned`` at every multiple of ``window_ms`` instead. Messages of one millisecond are taken
-    in id order, so ids must be unique within a queue.
+    in id order, so ids must be unique within a queue. ``buckets`` hands in a ``bucket_windows`` result;
+    otherwise it is written to the shared folder once, since two steps read it.
     """
-    buckets = bucket_windows(messages, limits, window_ms, aligned, carry)
+    if buckets is None:
+        buckets = materialize(bucket_windows(messages, limits, window_ms, aligned, carry), "buckets")
     timed = messages.withColumn("_ms", F.unix_millis("timestamp"))
     split = buckets.filter((F.col("_share") > 0) & (F.col("_share") < F.col("_arrived"))).select(*KEY, "_share")
     most = limits.agg(F.max("tokens")).first()[0] or 1

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from waybill.operators import metrics
 from waybill.operators.throttle import SECOND, bucket_windows, open_windows, throttle
+from waybill.session import materialize
 
 _CARRY = "queueName string, windowStart bigint, used bigint, batch bigint"
 
@@ -29,10 +30,10 @@ def throttle_stream(
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         states = batch.sparkSession.read.schema(_CARRY).parquet(state_path)
         previous = states.filter(F.col("batch") == batch_id - 1).drop("batch")
-        throttle(batch, limits, window_ms, carry=previous).write.mode("overwrite").parquet(
-            f"{path}/granted/batch={batch_id}"
-        )
-        carry = open_windows(bucket_windows(batch, limits, window_ms, carry=previous), previous)
+        buckets = materialize(bucket_windows(batch, limits, window_ms, carry=previous), "buckets")
+        granted = throttle(batch, limits, window_ms, buckets=buckets)
+        granted.write.mode("overwrite").parquet(f"{path}/granted/batch={batch_id}")
+        carry = open_windows(buckets, previous)
         carry.write.mode("overwrite").parquet(f"{state_path}/batch={batch_id}")
 
     return (
