@@ -29,7 +29,8 @@ def json_variant(text: Column) -> Column:
     body = trimmed(text)
     number = F.regexp_extract(body, r"\A-?[0-9.eE+\-]*", 0)
     return (
-        F.when(body == "", F.parse_json(F.lit("{}")))
+        F.when(text.rlike(r'\A[ \t\r\n]*[{\["]'), F.from_json(text, "variant", _JSON_OPTIONS))  # nearly all
+        .when(body == "", F.parse_json(F.lit("{}")))
         .when(body.rlike(r"\A[-0-9]") & number.rlike("[.eE]"), number.try_cast("double").cast("variant"))
         .when(body.rlike(r"\A[-0-9]"), number.try_cast("bigint").cast("variant"))
         .when(body.startswith("true"), F.lit(True).cast("variant"))

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from waybill.operators.joins import join_dimension
 from waybill.operators.ordered import first_n
+from waybill.session import materialize
 
 KEY = ["queueName", "messageIdHex"]
 QUEUE_ORDER = ["timestamp", "messageIdHex"]
@@ -21,8 +23,20 @@ def unread(messages: DataFrame, log: DataFrame) -> DataFrame:
 
 
 def _with_payload(messages: DataFrame, picked: DataFrame, bound: int) -> DataFrame:
-    ids = picked.select(*KEY, "position")
-    return messages.join(F.broadcast(ids) if bound <= BROADCAST_ROWS else ids, KEY)
+    """Full rows of the picked ids.
+
+    The pick is written down first. It stays the same whatever is committed later, and its put times
+    bound the second scan: files and row groups outside them are skipped.
+    """
+    ids = materialize(picked.select(*KEY, "timestamp", "position"), "claim")
+    micros = F.unix_micros("timestamp")
+    first, last = ids.agg(F.min(micros), F.max(micros)).first()
+    near = messages
+    if first is not None:
+        bounds = F.timestamp_micros(F.lit(first)), F.timestamp_micros(F.lit(last))
+        near = messages.filter(F.col("timestamp").between(*bounds))
+    ids = ids.drop("timestamp")
+    return near.join(F.broadcast(ids) if bound <= BROADCAST_ROWS else ids, KEY)
 
 
 def claim_batch(messages: DataFrame, log: DataFrame, queues: list[str], batch_size: int = 1000) -> DataFrame:
@@ -42,11 +56,8 @@ def claim_batch(messages: DataFrame, log: DataFrame, queues: list[str], batch_si
 def claim_configured(messages: DataFrame, log: DataFrame, queue_config: DataFrame) -> DataFrame:
     """Like ``claim_batch`` for every enabled queue of ``queue_config``, each with its own batch size."""
     enabled = queue_config.filter("enabled").select("queueName", "batchSize")
-    size = enabled.agg(
-        F.count("*").alias("queues"), F.sum("batchSize").alias("total"), F.max("batchSize").alias("largest")
-    ).first()
-    config = F.broadcast(enabled) if size["queues"] <= BROADCAST_ROWS else enabled
-    heads = unread(messages.select(*KEY, "timestamp").join(config, "queueName"), log)
+    size = enabled.agg(F.sum("batchSize").alias("total"), F.max("batchSize").alias("largest")).first()
+    heads = unread(join_dimension(messages.select(*KEY, "timestamp"), enabled, ["queueName"]), log)
     picked = first_n(heads, ["queueName"], QUEUE_ORDER, size["largest"] or 1, limit=F.col("batchSize"))
     return _with_payload(messages, picked, size["total"] or 0)
 

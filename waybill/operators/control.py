@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from waybill.operators.joins import salted_join
 from waybill.operators.ordered import previous_value
 
 HOUR_MS = 3_600_000
@@ -26,9 +27,9 @@ def state_timeline(commands: DataFrame, span_ms: int = HOUR_MS) -> DataFrame:
         F.min(F.when(command == "GRACEFUL_STOP", here)).alias("_graceful"),
         F.min(F.when(command.isin("REQUEST_STOP", "GRACEFUL_STOP"), here)).alias("_asked"),
     )
+    completions = timed.filter(command == "COMPLETE_DRAIN")
     completed = (
-        timed.filter(command == "COMPLETE_DRAIN")
-        .join(begins.select("connectorId", "_drain"), "connectorId")
+        salted_join(completions, begins.select("connectorId", "_drain"), ["connectorId"])
         .filter(here > F.col("_drain"))
         .groupBy("connectorId")
         .agg(F.min(here).alias("_complete"))
@@ -39,7 +40,7 @@ def state_timeline(commands: DataFrame, span_ms: int = HOUR_MS) -> DataFrame:
         .select("connectorId", "_drain", "_stop", "_asked")
     )
     switch = F.when(command.isin("PAUSE", "RESUME"), command)
-    rows = previous_value(timed, "connectorId", "_ms", "seq", switch, span_ms, "_switch").join(bounds, "connectorId")
+    rows = previous_value(timed, "connectorId", "_ms", "seq", switch, span_ms, "_switch", per_key=bounds)
     before = (
         F.when(here > F.col("_stop"), "Stopped")
         .when(here > F.col("_drain"), "Draining")

@@ -60,18 +60,28 @@ def running_total(df: DataFrame, value: str, position: str, width: int, out: str
 
 
 def previous_value(
-    df: DataFrame, key: str, time_ms: str, sequence: str, value: Column, span_ms: int, out: str
+    df: DataFrame,
+    key: str,
+    time_ms: str,
+    sequence: str,
+    value: Column,
+    span_ms: int,
+    out: str,
+    per_key: DataFrame | None = None,
 ) -> DataFrame:
     """The last non-null ``value`` strictly before each row of its key, ordered by (time, sequence).
 
     Each key's time line is cut into spans. A span's last value is a plain aggregate, spans are
-    chained per key, and rows are only sorted within their own span.
+    chained per key, and rows are only sorted within their own span. Columns of ``per_key`` (one row
+    per key) come along with the spans, so they need no join of all rows on the key.
     """
     spanned = df.withColumn("_span", F.floor(F.col(time_ms) / span_ms)).withColumn("_value", value)
     order = F.struct(time_ms, sequence)
     last = spanned.groupBy(key, "_span").agg(F.max_by("_value", F.when(F.col("_value").isNotNull(), order)).alias("_last"))
     earlier = Window.partitionBy(key).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
     carried = last.select(key, "_span", F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
+    if per_key is not None:
+        carried = carried.join(per_key, key)
     inside = Window.partitionBy(key, "_span").orderBy(time_ms, sequence).rowsBetween(Window.unboundedPreceding, -1)
     return (
         spanned.join(carried, [key, "_span"])

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from waybill.functions import formats
 from waybill.functions.charset import decode_payload, utf8
 from waybill.functions.parsing import json_variant, xml_json
+from waybill.operators.joins import join_dimension
 
 # Parsers of the default composite, in order of preference.
 DEFAULT_PARSERS = ("JSON", "XML", "TEXT")
@@ -78,11 +79,10 @@ def parse_payloads(
     return df.withColumn("parsed", result).drop(*helpers)
 
 
-def parse_by_queue(messages: DataFrame, queue_config: DataFrame, max_broadcast: int = 100_000) -> DataFrame:
+def parse_by_queue(messages: DataFrame, queue_config: DataFrame) -> DataFrame:
     """``parse_payloads`` with each queue's ``parserType``; a queue without configuration is AUTO."""
     choice = queue_config.select("queueName", F.upper("parserType").alias("_parser"))
-    small = choice.limit(max_broadcast + 1).count() <= max_broadcast
-    joined = messages.join(F.broadcast(choice) if small else choice, "queueName", "left")
+    joined = join_dimension(messages, choice, ["queueName"], "left")
     return parse_payloads(joined, parser_type=F.coalesce("_parser", F.lit("AUTO"))).drop("_parser")
 
 

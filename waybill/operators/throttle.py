@@ -14,13 +14,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from waybill.operators.joins import join_dimension
 from waybill.operators.ordered import first_n
 from waybill.session import materialize
 
 KEY = ["queueName", "_ms"]
 SECOND = 1000
 SEGMENT_MS = 3_600_000  # at most 3.6 million distinct milliseconds are held at a time
-BROADCAST_QUEUES = 100_000
 
 
 def _next_start(times: np.ndarray, window_ms: int) -> np.ndarray:
@@ -171,14 +171,12 @@ def bucket_windows(
 
     ``limits`` is (queueName, tokens). ``carry`` (queueName, windowStart, used) continues open windows.
     """
-    small = limits.limit(BROADCAST_QUEUES + 1).count() <= BROADCAST_QUEUES
-    arrivals = (
+    counted = (
         messages.filter(F.col("timestamp").isNotNull())
-        .select("queueName", F.unix_millis("timestamp").alias("_ms"))
-        .join(F.broadcast(limits.select("queueName")) if small else limits.select("queueName"), "queueName", "left_semi")
-        .groupBy(*KEY)
+        .groupBy("queueName", F.unix_millis("timestamp").alias("_ms"))
         .agg(F.count("*").alias("_arrived"))
     )
+    arrivals = join_dimension(counted, limits.select("queueName"), ["queueName"])
     if aligned:
         windows = arrivals.withColumn("_window", F.col("_ms") - F.pmod(F.col("_ms"), F.lit(window_ms)))
     else:
@@ -193,7 +191,7 @@ def bucket_windows(
             .drop("_carried")
         )
     share = F.greatest(F.lit(0), F.least(F.col("_arrived"), F.col("tokens") - F.col("_used")))
-    return counted.join(F.broadcast(limits) if small else limits, "queueName").withColumn("_share", share)
+    return join_dimension(counted, limits, ["queueName"]).withColumn("_share", share)
 
 
 def throttle(

@@ -47,3 +47,13 @@ def stream_files(
         if value is not None:
             reader = reader.option(name, value)
     return reader.parquet(path)
+
+
+def save_bucketed(df: DataFrame, table: str, path: str, buckets: int, mode: str = "append") -> None:
+    """Store messages or a delivery log as an external table bucketed by (queueName, messageIdHex).
+
+    Two such tables with the same ``buckets`` join on that key without a shuffle: the unread and
+    redelivery joins then read their inputs in place.
+    """
+    writer = df.write.mode(mode).option("path", path).bucketBy(buckets, "queueName", "messageIdHex")
+    writer.sortBy("queueName", "messageIdHex").saveAsTable(table)
