@@ -38,7 +38,7 @@ def reduce_payload(
     starts = _starts(payload, chunk_bytes)
     values = F.transform(starts, lambda s: handler(F.substring(payload, s, F.lit(chunk_bytes))))
     rest = F.slice(values, F.lit(2), F.greatest(F.size(values) - 1, F.lit(0)))
-    return F.when(F.size(starts) > 0, F.aggregate(rest, F.get(values, F.lit(0)), combiner))
+    return F.when(F.size(starts) > 0, F.aggregate(rest, F.get(values, F.lit(0)), lambda a, b: combiner(a, b)))
 
 
 def reduce_chunks(chunks: DataFrame, handled: Column, combine: Callable[[Column], Column], out: str) -> DataFrame:

@@ -229,7 +229,8 @@ def throttle(
 
 def open_windows(buckets: DataFrame, carry: DataFrame | None = None) -> DataFrame:
     """Carry for the next batch: each queue's last window and the tokens taken in it."""
-    taken = buckets.groupBy("queueName", "_window").agg(F.max(F.col("_used") + F.col("_share")).alias("used"))
+    used = F.least(F.col("tokens"), F.col("_used") + F.col("_arrived"))
+    taken = buckets.groupBy("queueName", "_window").agg(F.max(used).alias("used"))
     last = taken.groupBy("queueName").agg(
         F.max("_window").alias("windowStart"), F.max_by("used", "_window").alias("used")
     )

@@ -55,13 +55,19 @@ def commit_each_batch(
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         log = delivery.read_log(batch.sparkSession, log_path).filter(F.col("batchId") == batch_id)
+        batch_try = delivery.next_try(log, batch_id)
         tried = delivery.with_redelivery_count(batch, log)
+
+        def settle(outcome: str) -> None:
+            rows = delivery.settle(tried, batch_id, outcome, F.current_timestamp(), batch_try)
+            delivery.append_log(rows, log_path)
+
         try:
             handle(tried, batch_id)
         except Exception:
-            delivery.append_log(delivery.settle(tried, batch_id, "ROLLBACK", F.current_timestamp()), log_path)
+            settle("ROLLBACK")
             raise
-        delivery.append_log(delivery.settle(tried, batch_id, "COMMIT", F.current_timestamp()), log_path)
+        settle("COMMIT")
 
     return (
         messages.writeStream.foreachBatch(on_batch)
