@@ -141,13 +141,13 @@ def test_can_parse(spark, messages):
 
 
 def test_composite_falls_back_to_text(messages):
-    row = parse.parse_payloads(messages({"payload": "not json"}), ("JSON", "TEXT")).first()["parsed"]
+    row = parse.parse_payloads(messages({"payload": "not json"}), (parse.JSON, parse.TEXT)).first()["parsed"]
     assert (row["format"], row["isSuccess"], row["error"]) == ("TEXT", True, None)
 
 
 def test_composite_reports_last_failure(messages):
     df = messages({"payload": "not json or xml"}, {"payload": "<a>", "format": "XML"}, {"payload": "x", "format": "BIN"})
-    rows = [r["parsed"] for r in parse.parse_payloads(df, ("JSON", "XML")).orderBy("messageIdHex").collect()]
+    rows = [r["parsed"] for r in parse.parse_payloads(df, (parse.JSON, parse.XML)).orderBy("messageIdHex").collect()]
     assert [r["isSuccess"] for r in rows] == [False, False, False]
     # a message no parser accepts is tried with all, so the last one reports
     assert [r["format"] for r in rows] == ["JSON", "XML", "XML"]
@@ -282,3 +282,23 @@ def test_redaction(spark):
     assert config == {**dict.fromkeys(secrets, "[REDACTED]"), "user": "c"}
     text = one(spark, redact.redact_text(F.lit("connecting with password=secret123 to host, API_KEY: zzz")))
     assert text == "connecting with password=[REDACTED] to host, API_KEY=[REDACTED]"
+
+
+def test_own_parser_and_classifier(spark, messages):
+    from waybill.operators import recovery
+
+    pairs = parse.Parser(
+        "PAIRS",
+        lambda fmt, payload: fmt == "PAIRS",
+        lambda text, payload, ccsid: F.when(text.contains("="), F.to_variant_object(F.str_to_map(text, F.lit(";"), F.lit("=")))),
+        "no pairs",
+    )
+    df = messages({"payload": "a=1;b=2", "format": "PAIRS"}, {"payload": "none", "format": "PAIRS"})
+    rows = [r["parsed"] for r in parse.parse_payloads(df, (pairs, parse.JSON)).orderBy("messageIdHex").collect()]
+    assert (rows[0]["format"], rows[0]["data"].toPython()) == ("PAIRS", {"a": "1", "b": "2"})
+    assert (rows[1]["isSuccess"], rows[1]["error"]) == (False, "no pairs")
+
+    log = spark.createDataFrame([("X", "m", 1)], "errorClass string, message string, attempt int")
+    never = lambda cls, message: F.struct(F.lit("PERMANENT").alias("failureType"), message.alias("reason"))
+    planned = recovery.retry_plan(log.withColumn("ts", F.current_timestamp()), classifier=never).first()
+    assert (planned["shouldRetry"], planned["delayMs"], planned["nextRetryAt"]) == (False, None, None)

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from waybill.operators import audit, delivery, throttle
+from waybill.operators import audit, checkpoints, delivery, throttle
 from waybill.session import shared_dir
 from waybill.sources import messages as tables
 from waybill.streaming import fanout, ingest, stateful
@@ -64,11 +64,14 @@ def test_failed_batch_is_rolled_back_and_replayed(spark, landing):
             raise RuntimeError("sink is down")
 
     def run():
-        ingest.run_to_end(ingest.commit_each_batch(stream(spark, path), handle, f"{out}/log", f"{out}/c"))
+        fed = stream(spark, path)
+        ingest.run_to_end(ingest.commit_each_batch(fed, handle, f"{out}/log", f"{out}/c", f"{out}/saves", "QM"))
 
     for _ in range(2):
         with pytest.raises(Exception, match="sink is down"):
             run()
+    # a checkpoint is only saved after a commit
+    assert {r["seq"] for r in spark.read.parquet(f"{out}/saves/*").collect()} == {0}
     run()
     assert tries == [0, 1, 1, 1, 2]
     assert spark.read.parquet(f"{out}/t/*").count() == 600
@@ -78,6 +81,8 @@ def test_failed_batch_is_rolled_back_and_replayed(spark, landing):
     again = log.filter("outcome = 'ROLLBACK'").groupBy("messageIdHex").count()
     assert again.count() == 200 and {r["count"] for r in again.collect()} == {2}
     assert {r["attempt"] for r in commits.filter("batchId = 1").collect()} == {3}
+    saved = checkpoints.latest(spark.read.parquet(f"{out}/saves/*"))
+    assert {r["queueName"]: r["messagesProcessed"] for r in saved.collect()} == {"A": 100, "B": 100}
 
 
 def test_throttle_stream_equals_the_batch(spark, landing):

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 CCSID_CHARSETS = {
     1208: "UTF-8",
     819: "ISO-8859-1",
-    437: "IBM437",
-    500: "IBM500",
-    37: "IBM037",
+    437: "Cp437",
+    500: "Cp500",
+    37: "Cp037",
     1252: "windows-1252",
 }
 

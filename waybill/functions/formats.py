@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from waybill.functions.charset import trimmed, utf8
 
+# Message formats that carry JSON besides any whose name contains JSON.
+JSON_FORMATS = ("", "MQSTR")
+RAW_JSON_FORMATS = ("", "JSON", "MQSTR")
+
 # ASCII white space: tab to CR, the four separators, blank.
 _BLANK = r"[\t-\r\x1c-\x20]*"
 
@@ -29,7 +33,7 @@ def can_parse_json(fmt: Column, payload: Column) -> Column:
     body = trimmed(utf8(payload))
     braces = body.startswith("{") & body.endswith("}")
     brackets = body.startswith("[") & body.endswith("]")
-    return (name == "") | (name == "MQSTR") | name.contains("JSON") | braces | brackets
+    return name.isin(*JSON_FORMATS) | name.contains("JSON") | braces | brackets
 
 
 def can_parse_xml(fmt: Column, payload: Column) -> Column:
@@ -43,8 +47,8 @@ def can_parse_text(fmt: Column, payload: Column) -> Column:
 
 
 def supports_raw_json(fmt: Column) -> Column:
-    """Formats the raw JSON wrapper takes: none, JSON or MQSTR."""
-    return F.upper(F.coalesce(fmt, F.lit(""))).isin("", "JSON", "MQSTR")
+    """Whether the raw JSON wrapper takes messages of this format."""
+    return F.upper(F.coalesce(fmt, F.lit(""))).isin(*RAW_JSON_FORMATS)
 
 
 def raw_wrap(payload: Column) -> Column:

@@ -38,12 +38,13 @@ class RetryPolicy:
     def jittered_ms(self, attempt: Column, key: Column) -> Column:
         """``delay_ms`` shifted by up to ``jitter`` of itself, at least 1 ms.
 
-        The shift comes from a hash of ``key`` and ``attempt``: spread like a random draw, yet a
+        The shift comes from a digest of ``key`` and ``attempt``: spread like a random draw, yet a
         recomputed task gives the same delay.
         """
         delay = self.delay_ms(attempt)
         if self.jitter == 0.0:
             return delay
         spread = F.floor(delay * self.jitter)
-        unit = F.pmod(F.xxhash64(key, attempt), F.lit(2_000_001)) / 1_000_000 - 1
+        digest = F.md5(F.concat(key.cast("string"), F.lit("/"), attempt.cast("string")).cast("binary"))
+        unit = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") / 2147483647.5 - 1
         return F.greatest(F.lit(1).cast("bigint"), delay + (unit * spread).cast("bigint"))

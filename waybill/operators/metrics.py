@@ -153,7 +153,7 @@ def sent_counts(routed: DataFrame) -> DataFrame:
 
 
 def queue_health(metrics: DataFrame, degraded_share: float = 0.1) -> DataFrame:
-    """struct-free health table (label, status, isHealthy, message) from the counters.
+    """Health (label, status, isHealthy, message, details) from the counters.
 
     UNKNOWN: nothing received. DOWN: nothing committed. DEGRADED: rollbacks and parse failures above
     ``degraded_share`` of the messages. UP otherwise; only UP is healthy.
@@ -169,4 +169,12 @@ def queue_health(metrics: DataFrame, degraded_share: float = 0.1) -> DataFrame:
     text = F.concat(
         "messagesReceived", F.lit(" received, "), "messagesCommitted", F.lit(" committed, "), bad, F.lit(" failed")
     )
-    return m.select("label", status.alias("status"), (status == "UP").alias("isHealthy"), text.alias("message"))
+    shown = ("messagesReceived", "messagesCommitted", "messagesRolledBack", "parseFailure")
+    details = F.create_map(*[x for c in shown for x in (F.lit(c), F.col(c).cast("string"))])
+    return m.select(
+        "label",
+        status.alias("status"),
+        (status == "UP").alias("isHealthy"),
+        text.alias("message"),
+        details.alias("details"),
+    )

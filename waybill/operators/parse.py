@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -12,28 +14,40 @@ from waybill.functions.charset import decode_payload, utf8
 from waybill.functions.parsing import json_variant, xml_json
 from waybill.operators.joins import join_dimension
 
-# Parsers of the default composite, in order of preference.
-DEFAULT_PARSERS = ("JSON", "XML", "TEXT")
-
-_ACCEPTS = {"JSON": formats.can_parse_json, "XML": formats.can_parse_xml, "TEXT": formats.can_parse_text}
-_ERRORS = {
-    "JSON": "JSON parse error: no valid JSON value",
-    "XML": "XML parse error: document is not well-formed",
-    "TEXT": "Text parse error",
-}
-
+@dataclass(frozen=True)
+class Parser:
+    """One payload parser: ``accepts(format, payload)`` says which messages are meant for it, ``read`` gives
+    the VARIANT of the payload, null where it cannot be read. Values are only read from rows the parser
+    is tried on: ``read`` gets their text, bytes and charset id, and nulls elsewhere."""
+
+    name: str
+    accepts: Callable[[Column, Column], Column]
+    read: Callable[[Column, Column, Column], Column]
+    error: str
+
+
+JSON = Parser(
+    "JSON", formats.can_parse_json, lambda text, payload, ccsid: json_variant(text), "JSON parse error: no valid JSON value"
+)
+XML = Parser(
+    "XML",
+    formats.can_parse_xml,
+    lambda text, payload, ccsid: F.try_parse_json(xml_json(text)),
+    "XML parse error: document is not well-formed",
+)
+TEXT = Parser(
+    "TEXT",
+    formats.can_parse_text,
+    lambda text, payload, ccsid: decode_payload(payload, ccsid).cast("variant"),
+    "Text parse error",
+)
 
-def _read(parser: str, wanted: Column) -> Column:
-    """VARIANT of the payload for rows where ``wanted`` holds."""
-    if parser == "JSON":
-        return F.when(wanted, json_variant(F.col("_text")))
-    if parser == "XML":
-        return F.try_parse_json(xml_json(F.when(wanted, F.col("_text"))))
-    return F.when(wanted, decode_payload(F.col("payload"), F.col("ccsid")).cast("variant"))
+# Parsers of the default composite, in order of preference.
+DEFAULT_PARSERS = (JSON, XML, TEXT)
 
 
 def parse_payloads(
-    messages: DataFrame, parsers: tuple[str, ...] = DEFAULT_PARSERS, parser_type: Column | None = None
+    messages: DataFrame, parsers: tuple[Parser, ...] = DEFAULT_PARSERS, parser_type: Column | None = None
 ) -> DataFrame:
     """Add ``parsed``: struct(format, isSuccess, data, error, originalPayload, originalSize).
 
@@ -46,36 +60,36 @@ def parse_payloads(
         raise ValueError("at least one parser is required")
     accepts = {}
     for p in parsers:
-        accepts[p] = _ACCEPTS[p](F.col("format"), F.col("payload"))
+        accepts[p.name] = p.accepts(F.col("format"), F.col("payload"))
         if parser_type is not None:
-            accepts[p] = F.when(parser_type == "AUTO", accepts[p]).otherwise(parser_type == p)
-    df = messages.withColumns({f"_try_{p}": a for p, a in accepts.items()})
-    nobody = ~reduce(lambda a, b: a | b, [F.col(f"_try_{p}") for p in parsers])
+            accepts[p.name] = F.when(parser_type == "AUTO", accepts[p.name]).otherwise(parser_type == p.name)
+    names = list(accepts)
+    df = messages.withColumns({f"_try_{n}": a for n, a in accepts.items()})
+    nobody = ~reduce(lambda a, b: a | b, [F.col(f"_try_{n}") for n in names])
     if parser_type is not None:
         nobody = nobody & (parser_type == "AUTO")
     df = df.withColumns({"_text": utf8(F.col("payload")), "_nobody": nobody})
 
     done: Column = F.lit(False)
     for p in parsers:
-        tried = (F.col(f"_try_{p}") | F.col("_nobody")) & ~done
-        df = df.withColumn(f"_value_{p}", _read(p, tried))
-        done = done | F.col(f"_value_{p}").isNotNull()
-
-    winner = F.coalesce(*[F.when(F.col(f"_value_{p}").isNotNull(), p) for p in parsers])
-    loser = F.coalesce(
-        *[F.when(F.col(f"_try_{p}") | F.col("_nobody"), p) for p in reversed(parsers)], F.lit("UNKNOWN")
-    )
-    error = reduce(lambda case, p: case.when(loser == p, _ERRORS[p]), parsers, F.when(F.lit(False), ""))
+        tried = (F.col(f"_try_{p.name}") | F.col("_nobody")) & ~done
+        text, payload = F.when(tried, F.col("_text")), F.when(tried, F.col("payload"))
+        df = df.withColumn(f"_value_{p.name}", F.when(tried, p.read(text, payload, F.col("ccsid"))))
+        done = done | F.col(f"_value_{p.name}").isNotNull()
+
+    winner = F.coalesce(*[F.when(F.col(f"_value_{n}").isNotNull(), n) for n in names])
+    loser = F.coalesce(*[F.when(F.col(f"_try_{n}") | F.col("_nobody"), n) for n in reversed(names)], F.lit("UNKNOWN"))
+    error = reduce(lambda case, p: case.when(loser == p.name, p.error), parsers, F.when(F.lit(False), ""))
     failed = winner.isNull()
     result = F.struct(
         F.coalesce(winner, loser).alias("format"),
         winner.isNotNull().alias("isSuccess"),
-        F.coalesce(*[F.col(f"_value_{p}") for p in parsers]).alias("data"),
+        F.coalesce(*[F.col(f"_value_{n}") for n in names]).alias("data"),
         F.when(failed, error.otherwise("No parser could handle the message")).alias("error"),
         F.when(failed, F.col("_text")).alias("originalPayload"),
         F.octet_length("payload").alias("originalSize"),
     )
-    helpers = ["_text", "_nobody", *[f"_try_{p}" for p in parsers], *[f"_value_{p}" for p in parsers]]
+    helpers = ["_text", "_nobody", *[f"_try_{n}" for n in names], *[f"_value_{n}" for n in names]]
     return df.withColumn("parsed", result).drop(*helpers)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,10 +20,15 @@ ACTIONS = {
 }
 
 
-def retry_plan(failures: DataFrame, policy: RetryPolicy = RetryPolicy()) -> DataFrame:
+def retry_plan(
+    failures: DataFrame,
+    policy: RetryPolicy = RetryPolicy(),
+    classifier: Callable[[Column, Column], Column] = classify,
+) -> DataFrame:
     """Add failureType, reason, shouldRetry, delayMs and nextRetryAt to failures (errorClass, message,
-    attempt, ts). Delay and time are null where there is no retry."""
-    judged = failures.withColumn("_kind", classify(F.col("errorClass"), F.col("message")))
+    attempt, ts). Delay and time are null where there is no retry. ``classifier`` takes the class and
+    the message and gives struct(failureType, reason)."""
+    judged = failures.withColumn("_kind", classifier(F.col("errorClass"), F.col("message")))
     retry = policy.should_retry(F.col("attempt"), F.col("_kind.failureType") == "TRANSIENT")
     delayed = judged.withColumns(
         {

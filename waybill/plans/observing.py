@@ -31,7 +31,7 @@ def _metrics(spark, folder):
     return metrics.queue_metrics(
         messages=messages,
         log=views.delivery_log(spark, folder),
-        parsed=parse.parse_payloads(messages, ("JSON", "TEXT")),
+        parsed=parse.parse_payloads(messages, (parse.JSON, parse.TEXT)),
         retries=recovery.retry_plan(views.failures(spark, folder)),
         connections=views.connections(spark, folder),
         polls=views.polls(spark, folder),
@@ -135,14 +135,16 @@ def sent_counts(spark, folder):
     "queue_health",
     _METRICS
     + """, z AS (SELECT label, coalesce(received, 0) AS r, coalesce(committed, 0) AS c,
-      coalesce(rolledback, 0) + coalesce(bad, 0) AS f FROM m), h AS (
+      coalesce(rolledback, 0) AS b, coalesce(bad, 0) AS p, b + p AS f FROM m), h AS (
   SELECT *, CASE WHEN r = 0 THEN 'UNKNOWN' WHEN c = 0 THEN 'DOWN' WHEN f > r * 0.1 THEN 'DEGRADED' ELSE 'UP' END AS status
   FROM z)
   SELECT label, status, status = 'UP' AS "isHealthy",
-    r || ' received, ' || c || ' committed, ' || f || ' failed' AS message FROM h""",
+    r || ' received, ' || c || ' committed, ' || f || ' failed' AS message,
+    '{"messagesReceived":"' || r || '","messagesCommitted":"' || c || '","messagesRolledBack":"' || b ||
+    '","parseFailure":"' || p || '"}' AS details FROM h""",
 )
 def queue_health(spark, folder):
-    return metrics.queue_health(_metrics(spark, folder))
+    return metrics.queue_health(_metrics(spark, folder)).withColumn("details", F.to_json("details"))
 
 
 # Audit: `a` has one row per event, details as one JSON text.
@@ -182,7 +184,7 @@ def audit_log(spark, folder):
         audit.quarantined(poison, recovery.quarantine_decision(5), "QM1", "events"),
         audit.errors(views.failures(spark, folder), "QM1", "events"),
         audit.retry_attempts(planned, "QM1", "events"),
-        audit.parse_errors(parse.parse_payloads(messages, ("XML",)), "QM1", "events"),
+        audit.parse_errors(parse.parse_payloads(messages, (parse.XML,)), "QM1", "events"),
         audit.connections(views.connections(spark, folder), "events"),
         audit.checkpoint_events(saved, "CHECKPOINT_SAVED", "events"),
         audit.checkpoint_events(saved, "CHECKPOINT_LOADED", "events"),

@@ -58,7 +58,7 @@ def ccsid_decode(spark, folder):
         views.pick(list(_CCSIDS), kind).alias("ccsid"),
         F.when(kind == 0, F.encode("text", "UTF-8"))
         .when(kind == 1, F.encode(plain, "ISO-8859-1"))
-        .otherwise(F.encode(plain, "IBM037"))
+        .otherwise(F.encode(plain, "Cp037"))
         .alias("payload"),
     )
     return sent.select("messageIdHex", "kind", charset.decode_payload(F.col("payload"), F.col("ccsid")).alias("text"))
@@ -273,7 +273,7 @@ def raw_wrap(spark, folder):
 )
 def parse_failures(spark, folder):
     """Pages with JSON and XML as the only parsers: no page is well-formed."""
-    parsed = parse.parse_payloads(views.pages(spark, folder), ("JSON", "XML"))
+    parsed = parse.parse_payloads(views.pages(spark, folder), (parse.JSON, parse.XML))
     return views.flat(parse.parse_failures(parsed))
 
 
@@ -288,7 +288,7 @@ def parse_failures(spark, folder):
 def parse_counts(spark, folder):
     columns = "queueName", "format", "payload", "ccsid"
     both = views.pages(spark, folder).select(*columns).unionByName(views.orders(spark, folder).select(*columns))
-    return parse.parse_counts(parse.parse_payloads(both, ("JSON", "XML")))
+    return parse.parse_counts(parse.parse_payloads(both, (parse.JSON, parse.XML)))
 
 
 # Sizes and chunks. Limits are scaled to the documents.

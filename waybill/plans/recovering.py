@@ -65,7 +65,13 @@ def backoff_schedule(spark, folder):
     )
 
 
-@query("backoff_jitter")
+@query(
+    "backoff_jitter",
+    views.FAILURES
+    + """SELECT id AS "messageIdHex", attempt, delay AS "delayMs", greatest(1, delay + trunc(
+    (('0x' || substr(md5(id || '/' || attempt), 1, 8))::BIGINT / 2147483647.5 - 1) * floor(delay * 0.1))::BIGINT)
+    AS "jitteredMs" FROM planned""",
+)
 def backoff_jitter(spark, folder):
     policy = RetryPolicy(jitter=0.1)
     attempt = F.col("attempt")

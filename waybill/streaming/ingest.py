@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from waybill.operators import delivery
+from waybill.operators import checkpoints, delivery
 
 
 def run_to_end(query: StreamingQuery) -> None:
@@ -43,13 +43,16 @@ def commit_each_batch(
     handle: Callable[[DataFrame, int], None],
     log_path: str,
     checkpoint: str,
+    saves_path: str | None = None,
+    queue_manager: str = "",
 ) -> StreamingQuery:
     """Hand each micro-batch to ``handle`` and log its messages as committed, or, if it raises, as
     rolled back before the query fails.
 
     Spark replays a failed or unfinished batch under the same id. ``handle`` must overwrite what it
     wrote for that id; the log does so itself. Rollbacks of earlier tries of the batch are read back,
-    so each try is logged as its own attempt.
+    so each try is logged as its own attempt. With ``saves_path`` every committed batch also saves its
+    checkpoints (see ``operators.checkpoints``), after the commit.
     """
     delivery.init_log(messages.sparkSession, log_path)
 
@@ -68,6 +71,12 @@ def commit_each_batch(
             settle("ROLLBACK")
             raise
         settle("COMMIT")
+        if saves_path is not None:
+            placed = tried if "partitionId" in tried.columns else tried.withColumn("partitionId", F.lit(0))
+            now = F.unix_millis(F.current_timestamp())
+            saves = checkpoints.build_checkpoints(placed, queue_manager, now)
+            saves = saves.withColumns({"seq": F.lit(batch_id).cast("bigint"), "deleted": F.lit(False)})
+            saves.write.mode("overwrite").parquet(f"{saves_path}/batch={batch_id}")
 
     return (
         messages.writeStream.foreachBatch(on_batch)
