@@ -87,6 +87,7 @@ def write_routed(routed: DataFrame, path: str) -> None:
     """Write every kept message under its target queue."""
     (
         routed.filter(F.col("targetQueue").isNotNull())
+        .hint("rebalance", "targetQueue")  # well-sized files; a hot target is split over many tasks
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("targetQueue")

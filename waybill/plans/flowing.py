@@ -105,4 +105,4 @@ def pause_duration(spark, folder):
   SELECT q AS "queueName", sum(delta)::BIGINT AS "inFlight", sum(delta) = 0 AS drained FROM last WHERE rn = 1 GROUP BY q""",
 )
 def in_flight(spark, folder):
-    return control.in_flight(views.tracking(spark, folder))
+    return control.in_flight(views.tracking(views.events(spark, folder)))

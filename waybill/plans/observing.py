@@ -30,11 +30,11 @@ def _metrics(spark, folder):
     messages = views.events(spark, folder)
     return metrics.queue_metrics(
         messages=messages,
-        log=views.delivery_log(spark, folder),
+        log=views.delivery_log(messages),
         parsed=parse.parse_payloads(messages, (parse.JSON, parse.TEXT)),
-        retries=recovery.retry_plan(views.failures(spark, folder)),
+        retries=recovery.retry_plan(views.failures(messages)),
         connections=views.connections(spark, folder),
-        polls=views.polls(spark, folder),
+        polls=views.polls(messages),
     )
 
 
@@ -100,7 +100,7 @@ def prometheus_lines(spark, folder):
     sum(dur)::BIGINT AS "totalPollDuration", count(*) FILTER (WHERE n = 0) AS "emptyPollCount" FROM polls GROUP BY q""",
 )
 def poll_stats(spark, folder):
-    return views.flat(metrics.poll_statistics(views.polls(spark, folder)))
+    return views.flat(metrics.poll_statistics(views.polls(views.events(spark, folder))))
 
 
 @query(
@@ -108,7 +108,7 @@ def poll_stats(spark, folder):
     views.FAILURES + """SELECT q AS "queueName", class AS "errorType", count(*) AS errors FROM typed GROUP BY ALL""",
 )
 def error_counts(spark, folder):
-    return metrics.error_counts(views.failures(spark, folder))
+    return metrics.error_counts(views.failures(views.events(spark, folder)))
 
 
 @query(
@@ -173,16 +173,17 @@ AUDIT = views.LOG + ", " + views._FAILURES + f""", conn AS ({views.CONNECTIONS})
 def audit_log(spark, folder):
     """All eleven event types from the messages and logs of one run."""
     messages = views.events(spark, folder)
-    planned = recovery.retry_plan(views.failures(spark, folder))
+    failures = views.failures(messages)
+    planned = recovery.retry_plan(failures)
     poison = messages.filter(recovery.is_poison(F.col("backoutCount"), 5))
     saved = checkpoints.build_checkpoints(
         messages.withColumn("partitionId", F.lit(0)), "QM1", F.lit(0).cast("bigint")
     ).withColumn("createdAt", F.col("lastProcessedTimestamp") + 1)
     return audit.union(
         audit.received(messages, "QM1", "events"),
-        audit.settled(views.delivery_log(spark, folder), "QM1", "events"),
+        audit.settled(views.delivery_log(messages), "QM1", "events"),
         audit.quarantined(poison, recovery.quarantine_decision(5), "QM1", "events"),
-        audit.errors(views.failures(spark, folder), "QM1", "events"),
+        audit.errors(failures, "QM1", "events"),
         audit.retry_attempts(planned, "QM1", "events"),
         audit.parse_errors(parse.parse_payloads(messages, (parse.XML,)), "QM1", "events"),
         audit.connections(views.connections(spark, folder), "events"),

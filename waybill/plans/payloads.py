@@ -91,7 +91,7 @@ def payload_size(spark, folder):
 )
 def latency(spark, folder):
     key = F.col("event_id")
-    wrapped = views.events(spark, folder, "event_id").withColumns(
+    wrapped = views.events(spark, folder).withColumns(
         headers.envelope("events", key % 8, F.floor(key / 8), {"fmt": F.col("format"), "user": F.col("userId")})
     )
     shown = F.array_join(F.transform(F.map_entries("headers"), lambda e: F.concat(e.key, F.lit("="), e.value)), ";")
@@ -115,7 +115,7 @@ def latency(spark, folder):
 def redact_details(spark, folder):
     name = views.pick(["sslKeyStorePassword", "userId", "authToken", "host"], F.col("event_id") % 4)
     details = F.create_map(name, F.col("payloadString"))
-    return views.events(spark, folder, "event_id").select(
+    return views.events(spark, folder).select(
         "messageIdHex", name.alias("name"), F.element_at(redact.redact_map(details), name).alias("shown")
     )
 

@@ -35,15 +35,15 @@ CLAIM_SQL = _UNREAD + _CLAIM_SELECT + " FROM unread WHERE rn <= 1000"
 
 @query("claim_batch", CLAIM_SQL)
 def claim_batch(spark, folder):
-    batch = claim.claim_batch(views.events(spark, folder), views.delivery_log(spark, folder), views.QUEUES)
+    e = views.events(spark, folder)
+    batch = claim.claim_batch(e, views.delivery_log(e), views.QUEUES)
     return views.flat(batch, *CLAIM_COLUMNS)
 
 
 @query("browse_batch", _UNREAD + _CLAIM_SELECT + " FROM unread WHERE rn <= 100")
 def browse_batch(spark, folder):
-    batch = claim.browse_batch(
-        views.events(spark, folder), views.delivery_log(spark, folder), views.QUEUES, batch_size=100
-    )
+    e = views.events(spark, folder)
+    batch = claim.browse_batch(e, views.delivery_log(e), views.QUEUES, batch_size=100)
     return views.flat(batch, *CLAIM_COLUMNS)
 
 
@@ -52,9 +52,8 @@ def browse_batch(spark, folder):
     _UNREAD + ", " + views.CONFIG + _CLAIM_SELECT + " FROM unread JOIN config USING (q) WHERE enabled AND rn <= n",
 )
 def multi_queue_claim(spark, folder):
-    batch = claim.claim_configured(
-        views.events(spark, folder), views.delivery_log(spark, folder), views.event_queue_config(spark)
-    )
+    e = views.events(spark, folder)
+    batch = claim.claim_configured(e, views.delivery_log(e), views.event_queue_config(spark))
     return views.flat(batch, *CLAIM_COLUMNS)
 
 
@@ -66,8 +65,8 @@ def multi_queue_claim(spark, folder):
 )
 def commit_batch(spark, folder):
     """Claim, commit, and commit the same batch once more as a replay would."""
-    messages, log = views.events(spark, folder), views.delivery_log(spark, folder)
-    batch = claim.claim_batch(messages, log, views.QUEUES)
+    e = views.events(spark, folder)
+    batch = claim.claim_batch(e, views.delivery_log(e), views.QUEUES)
     path = shared_dir(spark, "delivery-log")
     for _ in range(2):
         delivery.append_log(delivery.settle(batch, 7, "COMMIT", F.col("receivedAt")), path)
@@ -83,7 +82,8 @@ def commit_batch(spark, folder):
     backout + coalesce(n, 0) > 0 AS "isRedelivered" FROM e LEFT JOIN again USING (q, id)""",
 )
 def redelivery_count(spark, folder):
-    counted = delivery.with_redelivery_count(views.events(spark, folder), views.delivery_log(spark, folder))
+    e = views.events(spark, folder)
+    counted = delivery.with_redelivery_count(e, views.delivery_log(e))
     counted = counted.withColumn("isRedelivered", F.col("backoutCount") > 0)
     return views.flat(counted, "queueName", "messageIdHex", "backoutCount", "isRedelivered")
 
@@ -105,7 +105,7 @@ _PROGRESS = views.E + """, b AS (
   FROM total JOIN ids USING (batch)""",
 )
 def stream_progress(spark, folder):
-    batches = views.events(spark, folder, "event_id").withColumn("batchId", views.batch_id())
+    batches = views.events(spark, folder).withColumn("batchId", views.batch_id())
     marked = progress.batch_progress(batches).withColumn("marker", progress.marker_json())
     read = marked.select(progress.marker_from_json(F.col("marker")).alias("m"), "marker")
     return read.select(
@@ -164,7 +164,7 @@ _CKPT_SELECT = """SELECT q AS "queueName", 'QM1' AS "queueManager", last_id AS "
 
 def _saves(spark, folder):
     """One checkpoint per queue, partition and batch; half of the messages carry a correlation id."""
-    e = views.events(spark, folder, "event_id")
+    e = views.events(spark, folder)
     batch = e.withColumns(
         {
             "partitionId": (F.col("event_id") % 4).cast("int"),

@@ -26,7 +26,7 @@ from waybill.session import shared_dir
       ELSE ' [reasonCode=' || reason || ', completionCode=' || completion || ']' END AS error FROM kinds""",
 )
 def reason_kind(spark, folder):
-    log = views.failures(spark, folder).withColumn("kind", failing.reason_kind(F.col("reasonCode")))
+    log = views.failures(views.events(spark, folder)).withColumn("kind", failing.reason_kind(F.col("reasonCode")))
     message = F.coalesce("message", F.element_at(F.split("errorClass", r"\."), -1))
     error = failing.error_text(F.col("kind"), message, F.col("reasonCode"), F.col("completionCode"))
     return log.select("messageIdHex", "kind", error.alias("error"))
@@ -35,7 +35,7 @@ def reason_kind(spark, folder):
 @query("failure_class", views.FAILURES + """SELECT id AS "messageIdHex", kind AS "failureType", why AS reason FROM typed""")
 def failure_class(spark, folder):
     judged = failing.classify(F.col("errorClass"), F.col("message"))
-    return views.failures(spark, folder).select("messageIdHex", judged.alias("f")).select("messageIdHex", "f.*")
+    return views.failures(views.events(spark, folder)).select("messageIdHex", judged.alias("f")).select("messageIdHex", "f.*")
 
 
 @query(
@@ -43,7 +43,7 @@ def failure_class(spark, folder):
     views.FAILURES + """SELECT id AS "messageIdHex", attempt, kind AS "failureType", retry AS "shouldRetry" FROM planned""",
 )
 def retry_decision(spark, folder):
-    planned = recovery.retry_plan(views.failures(spark, folder))
+    planned = recovery.retry_plan(views.failures(views.events(spark, folder)))
     return views.flat(planned, "messageIdHex", "attempt", "failureType", "shouldRetry")
 
 
@@ -56,7 +56,7 @@ def retry_decision(spark, folder):
 )
 def backoff_schedule(spark, folder):
     attempt = F.col("attempt")
-    return views.failures(spark, folder).select(
+    return views.failures(views.events(spark, folder)).select(
         "messageIdHex",
         attempt.cast("bigint").alias("attempt"),
         RetryPolicy().delay_ms(attempt).alias("doubledMs"),
@@ -75,7 +75,7 @@ def backoff_schedule(spark, folder):
 def backoff_jitter(spark, folder):
     policy = RetryPolicy(jitter=0.1)
     attempt = F.col("attempt")
-    return views.failures(spark, folder).select(
+    return views.failures(views.events(spark, folder)).select(
         "messageIdHex",
         attempt.cast("bigint").alias("attempt"),
         policy.delay_ms(attempt).alias("delayMs"),
@@ -90,7 +90,7 @@ def backoff_jitter(spark, folder):
     CASE WHEN retry THEN recv_ms + delay ELSE -1 END AS "nextRetryAtMs" FROM planned""",
 )
 def retry_plan(spark, folder):
-    planned = recovery.retry_plan(views.failures(spark, folder))
+    planned = recovery.retry_plan(views.failures(views.events(spark, folder)))
     shown = views.flat(planned, "messageIdHex", "shouldRetry", "delayMs", "nextRetryAt")
     return shown.fillna(-1, ["delayMs", "nextRetryAtMs"])
 
@@ -128,7 +128,7 @@ _ROUTED = views.E + """, routed AS (SELECT id, q, size, CASE WHEN backout < 4 TH
 
 def routed(spark, folder):
     action = views.pick(_ACTIONS, F.col("event_id") % 4)
-    return recovery.route(views.events(spark, folder, "event_id"), 4, action)
+    return recovery.route(views.events(spark, folder), 4, action)
 
 
 @query(

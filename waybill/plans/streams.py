@@ -14,10 +14,10 @@ from waybill.sources.messages import stream_files
 from waybill.streaming import fanout, ingest, stateful
 
 
-def _event_stream(spark, folder, *extra):
+def _event_stream(spark, folder):
     """The events file as a message stream."""
     kind = envelopes.table(spark, folder, "events").schema
-    return envelopes.event_messages(stream_files(spark, folder, kind, glob="events.parquet"), extra)
+    return envelopes.event_messages(stream_files(spark, folder, kind, glob="events.parquet"))
 
 
 @query(

@@ -44,8 +44,9 @@ def sql_list(values: list) -> str:
     return "[" + ",".join("NULL" if v is None else repr(v) for v in values) + "]"
 
 
-def events(spark: SparkSession, folder: str, *extra: str) -> DataFrame:
-    return envelopes.event_messages(table(spark, folder, "events"), extra)
+def events(spark: SparkSession, folder: str) -> DataFrame:
+    """Event messages, with the source columns the logs below are derived from."""
+    return envelopes.event_messages(table(spark, folder, "events"), ("event_id", "value"))
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -72,9 +73,8 @@ def batch_id() -> Column:
     return F.floor(F.col("event_id") / 1000).cast("bigint")
 
 
-def delivery_log(spark: SparkSession, folder: str) -> DataFrame:
+def delivery_log(e: DataFrame) -> DataFrame:
     """Cheap events are committed; every message was rolled back as often as it was backed out."""
-    e = events(spark, folder, "event_id", "value")
     base = ["queueName", "messageIdHex"]
     commits = e.filter(F.col("value") < 25).select(
         *base, (F.col("backoutCount") + 1).alias("attempt"), F.lit("COMMIT").alias("outcome"),
@@ -87,9 +87,10 @@ def delivery_log(spark: SparkSession, folder: str) -> DataFrame:
     return commits.unionByName(rollbacks)
 
 
-def failures(spark: SparkSession, folder: str) -> DataFrame:
+def failures(e: DataFrame) -> DataFrame:
+    """Every event as one failed attempt, over eight errors and twelve reason codes."""
     key = F.col("event_id")
-    return events(spark, folder, "event_id").select(
+    return e.select(
         "queueName",
         "messageIdHex",
         pick(ERROR_CLASSES, key % 8).alias("errorClass"),
@@ -101,10 +102,10 @@ def failures(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def polls(spark: SparkSession, folder: str) -> DataFrame:
+def polls(e: DataFrame) -> DataFrame:
     """One poll per queue and hour, empty hours included."""
     hour = F.floor(F.unix_millis("timestamp") / HOUR_MS)
-    counts = events(spark, folder).groupBy("queueName", hour.alias("hour")).agg(F.count("*").alias("n"))
+    counts = e.groupBy("queueName", hour.alias("hour")).agg(F.count("*").alias("n"))
     hours = counts.groupBy("queueName").agg(F.explode(F.sequence(F.min("hour"), F.max("hour"))).alias("hour"))
     n = F.coalesce("n", F.lit(0))
     return hours.join(counts, ["queueName", "hour"], "left").select(
@@ -139,9 +140,8 @@ def commands(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def tracking(spark: SparkSession, folder: str) -> DataFrame:
+def tracking(e: DataFrame) -> DataFrame:
     """Messages tracked when put and, unless cheap, completed when received."""
-    e = events(spark, folder, "event_id", "value")
     track = e.select(
         "queueName", "messageIdHex", F.lit("TRACK").alias("action"), F.col("timestamp").alias("ts"),
         (F.col("event_id") * 2).alias("seq"),
