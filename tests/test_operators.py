@@ -435,6 +435,22 @@ def test_state_timeline_equals_the_fold(spark):
     assert any(pauses.values()) and {s[1] for s in got.values()} == {"Running", "Paused", "Draining", "Stopped"}
 
 
+def test_state_timeline_of_one_hot_connector_at_one_time(spark):
+    rng = random.Random(6)
+    log = [(5, rng.choice(["PAUSE", "RESUME", "REQUEST_STOP", "REQUEST_STOP"])) for _ in range(20_000)]
+    rows = [(7, i, ms, cmd) for i, (ms, cmd) in enumerate(log)] + [(c, 0, 1, "PAUSE") for c in range(3)]
+    df = spark.createDataFrame(rows, "connectorId int, seq int, ms bigint, command string").repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        line = control.state_timeline(df.withColumn("ts", F.timestamp_millis("ms")))
+        got = {r["seq"]: (r["stateBefore"], r["state"]) for r in line.filter("connectorId = 7").collect()}
+        sliced = ordered.materialize(df.repartitionByRange("connectorId", "ms", "seq").withColumn("s", F.spark_partition_id()), "t")
+        assert sliced.filter("connectorId = 7").select("s").distinct().count() > 4  # no task had it all
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == {i: s[:2] for i, s in enumerate(fold_states(log)[0])}
+
+
 def test_in_flight(spark):
     log = [("Q", "a", "TRACK"), ("Q", "a", "TRACK"), ("Q", "b", "TRACK"), ("Q", "b", "COMPLETE"), ("R", "c", "COMPLETE")]
     rows = [(q, m, a, i) for i, (q, m, a) in enumerate(log)]

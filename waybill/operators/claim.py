@@ -34,7 +34,7 @@ def _with_payload(messages: DataFrame, picked: DataFrame, bound: int) -> DataFra
     near = messages
     if first is not None:
         bounds = F.timestamp_micros(F.lit(first)), F.timestamp_micros(F.lit(last))
-        near = messages.filter(F.col("timestamp").between(*bounds))
+        near = messages.filter(F.col("timestamp").isNull() | F.col("timestamp").between(*bounds))
     ids = ids.drop("timestamp")
     return near.join(F.broadcast(ids) if bound <= BROADCAST_ROWS else ids, KEY)
 

@@ -8,10 +8,8 @@ from pyspark.sql import functions as F
 from waybill.operators.joins import salted_join
 from waybill.operators.ordered import previous_value
 
-HOUR_MS = 3_600_000
 
-
-def state_timeline(commands: DataFrame, span_ms: int = HOUR_MS) -> DataFrame:
+def state_timeline(commands: DataFrame) -> DataFrame:
     """State before and after every command of a log (connectorId, seq, ts, command).
 
     Commands: PAUSE, RESUME, DRAIN, COMPLETE_DRAIN, REQUEST_STOP, GRACEFUL_STOP. A connector starts
@@ -40,7 +38,7 @@ def state_timeline(commands: DataFrame, span_ms: int = HOUR_MS) -> DataFrame:
         .select("connectorId", "_drain", "_stop", "_asked")
     )
     switch = F.when(command.isin("PAUSE", "RESUME"), command)
-    rows = previous_value(timed, "connectorId", "_ms", "seq", switch, span_ms, "_switch", per_key=bounds)
+    rows = previous_value(timed, "connectorId", ["_ms", "seq"], switch, "_switch", per_key=bounds)
     before = (
         F.when(here > F.col("_stop"), "Stopped")
         .when(here > F.col("_drain"), "Draining")

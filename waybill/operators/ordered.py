@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from waybill.session import materialize
+
 SALTS = 256
 
 
@@ -62,29 +64,30 @@ def running_total(df: DataFrame, value: str, position: str, width: int, out: str
 def previous_value(
     df: DataFrame,
     key: str,
-    time_ms: str,
-    sequence: str,
+    order: list[str],
     value: Column,
-    span_ms: int,
     out: str,
     per_key: DataFrame | None = None,
 ) -> DataFrame:
-    """The last non-null ``value`` strictly before each row of its key, ordered by (time, sequence).
+    """The last non-null ``value`` strictly before each row of its key in ``order``.
 
-    Each key's time line is cut into spans. A span's last value is a plain aggregate, spans are
-    chained per key, and rows are only sorted within their own span. Columns of ``per_key`` (one row
-    per key) come along with the spans, so they need no join of all rows on the key.
+    Rows are laid out by ranges of (key, order), so slices are of even size even where one key, or one
+    time of one key, holds much of the data. A slice's last value per key is a plain aggregate, slices
+    are chained per key, and rows are only sorted within their slice. The layout is written down, as
+    both steps must see the same slices. Columns of ``per_key`` (one row per key) come along with the
+    slices, so they need no join of all rows on the key.
     """
-    spanned = df.withColumn("_span", F.floor(F.col(time_ms) / span_ms)).withColumn("_value", value)
-    order = F.struct(time_ms, sequence)
-    last = spanned.groupBy(key, "_span").agg(F.max_by("_value", F.when(F.col("_value").isNotNull(), order)).alias("_last"))
-    earlier = Window.partitionBy(key).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
-    carried = last.select(key, "_span", F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
+    ranged = df.withColumn("_value", value).repartitionByRange(key, *order)
+    sliced = materialize(ranged.withColumn("_slice", F.spark_partition_id()), "slices")
+    position = F.when(F.col("_value").isNotNull(), F.struct(*order))
+    last = sliced.groupBy(key, "_slice").agg(F.max_by("_value", position).alias("_last"))
+    earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = last.select(key, "_slice", F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
     if per_key is not None:
         carried = carried.join(per_key, key)
-    inside = Window.partitionBy(key, "_span").orderBy(time_ms, sequence).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(key, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        spanned.join(carried, [key, "_span"])
+        sliced.join(carried, [key, "_slice"])
         .withColumn(out, F.coalesce(F.last("_value", ignorenulls=True).over(inside), F.col("_carried")))
-        .drop("_span", "_value", "_carried")
+        .drop("_slice", "_value", "_carried")
     )

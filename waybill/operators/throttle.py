@@ -171,12 +171,9 @@ def bucket_windows(
 
     ``limits`` is (queueName, tokens). ``carry`` (queueName, windowStart, used) continues open windows.
     """
-    counted = (
-        messages.filter(F.col("timestamp").isNotNull())
-        .groupBy("queueName", F.unix_millis("timestamp").alias("_ms"))
-        .agg(F.count("*").alias("_arrived"))
-    )
-    arrivals = join_dimension(counted, limits.select("queueName"), ["queueName"])
+    put = messages.filter(F.col("timestamp").isNotNull()).select("queueName", F.unix_millis("timestamp").alias("_ms"))
+    limited = join_dimension(put, limits.select("queueName"), ["queueName"], "left_semi")
+    arrivals = limited.groupBy(*KEY).agg(F.count("*").alias("_arrived"))
     if aligned:
         windows = arrivals.withColumn("_window", F.col("_ms") - F.pmod(F.col("_ms"), F.lit(window_ms)))
     else:
@@ -214,9 +211,8 @@ def throttle(
     timed = messages.withColumn("_ms", F.unix_millis("timestamp"))
     split = buckets.filter((F.col("_share") > 0) & (F.col("_share") < F.col("_arrived"))).select(*KEY, "_share")
     most = limits.agg(F.max("tokens")).first()[0] or 1
-    winners = first_n(
-        timed.select(*KEY, "messageIdHex").join(split, KEY), KEY, ["messageIdHex"], most, limit=F.col("_share")
-    )
+    asking = join_dimension(timed.select(*KEY, "messageIdHex"), limits.select("queueName"), ["queueName"], "left_semi")
+    winners = first_n(asking.join(split, KEY), KEY, ["messageIdHex"], most, limit=F.col("_share"))
     cut = winners.groupBy(*KEY).agg(F.max("messageIdHex").alias("_cut"))
     decided = buckets.select(*KEY, "_arrived", "_share").join(cut, KEY, "left")
     granted = (

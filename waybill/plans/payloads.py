@@ -11,6 +11,7 @@ from waybill.operators import chunks, offload, parse
 from waybill.plans import views
 from waybill.plans.registry import query
 from waybill.session import shared_dir
+from waybill.sources import envelopes
 from waybill.sources.envelopes import table
 
 
@@ -39,29 +40,34 @@ def minimal_projection(spark, folder):
     return views.flat(schema.project(views.events(spark, folder), wanted))
 
 
-_CCSIDS = (1208, 819, 37)
+# Charset ids in turn; the last one is unknown and read as UTF-8.
+_CCSIDS = [1208, 819, 1252, 437, 500, 37, 9999]
 
 
 @query(
     "ccsid_decode",
     views.CHATS
-    + """SELECT id AS "messageIdHex", turn % 3 AS kind,
-    CASE turn % 3 WHEN 0 THEN body ELSE regexp_replace(body, '[^\\x00-\\x7e]', '?', 'g') END AS text FROM c""",
+    + r"""SELECT id AS "messageIdHex", [1208, 819, 1252, 437, 500, 37, 9999][(conv_id + turn) % 7 + 1] AS ccsid,
+    CASE WHEN (conv_id + turn) % 7 IN (0, 6) THEN body
+      WHEN (conv_id + turn) % 7 <= 2 THEN regexp_replace(body, '[^\x00-\x7e\xa0-\xff]', '?', 'g')
+      ELSE regexp_replace(body, '[^\x00-\x7e]', '?', 'g') END AS text FROM c""",
 )
 def ccsid_decode(spark, folder):
-    """Chats sent as UTF-8, Latin-1 and EBCDIC in turn, decoded by their charset id."""
-    plain = F.regexp_replace("text", r"[^\x00-\x7e]", "?")
-    kind = F.col("turn") % 3
+    """Chats sent in each charset in turn, decoded by their charset id. A charset that lacks a
+    character is sent a question mark."""
+    latin = F.regexp_replace("text", r"[^\x00-\x7e\xa0-\xff]", "?")
+    ascii_only = F.regexp_replace("text", r"[^\x00-\x7e]", "?")
+    kind = (F.col("conv_id") + F.col("turn")) % len(_CCSIDS)
+    body = F.when(kind.isin(0, 6), F.encode("text", "UTF-8"))
+    for i, ccsid in enumerate(_CCSIDS[1:-1], start=1):
+        body = body.when(kind == i, F.encode(latin if i <= 2 else ascii_only, charset.CCSID_CHARSETS[ccsid]))
     sent = table(spark, folder, "conversations").select(
-        headers.hex_id(F.unhex(F.lpad(F.hex(F.col("conv_id") * 1000 + F.col("turn")), 48, "0"))).alias("messageIdHex"),
-        kind.alias("kind"),
-        views.pick(list(_CCSIDS), kind).alias("ccsid"),
-        F.when(kind == 0, F.encode("text", "UTF-8"))
-        .when(kind == 1, F.encode(plain, "ISO-8859-1"))
-        .otherwise(F.encode(plain, "Cp037"))
-        .alias("payload"),
+        envelopes.key_hex(F.col("conv_id") * 1000 + F.col("turn")).alias("messageIdHex"),
+        views.pick(_CCSIDS, kind).alias("ccsid"),
+        body.alias("payload"),
     )
-    return sent.select("messageIdHex", "kind", charset.decode_payload(F.col("payload"), F.col("ccsid")).alias("text"))
+    text = charset.decode_payload(F.col("payload"), F.col("ccsid"))
+    return sent.select("messageIdHex", F.col("ccsid").cast("bigint").alias("ccsid"), text.alias("text"))
 
 
 @query("hex_ids", views.E + """SELECT id AS "messageIdHex", corr AS "correlationIdHex", '' AS "groupIdHex" FROM e""")
