@@ -18,7 +18,7 @@ CCSID_CHARSETS = {
 }
 
 # Everything Java's String.trim strips: U+0000 to U+0020.
-_CONTROL = "".join(chr(c) for c in range(0x21))
+CONTROL = "".join(chr(c) for c in range(0x21))
 
 
 def decode_payload(payload: Column, ccsid: Column) -> Column:
@@ -37,4 +37,4 @@ def utf8(payload: Column) -> Column:
 
 def trimmed(text: Column) -> Column:
     """``text`` without leading and trailing control characters and blanks."""
-    return F.btrim(text, F.lit(_CONTROL))
+    return F.btrim(text, F.lit(CONTROL))

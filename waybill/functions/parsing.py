@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType
 
-from waybill.functions.charset import trimmed
+from waybill.functions.charset import CONTROL, trimmed
 
 # Leading zeros and raw control characters are let through; quotes and NaN are not relaxed.
 _JSON_OPTIONS = {
@@ -67,9 +67,9 @@ class _Document:
             value = {k: v[0] if len(v) == 1 else v for k, v in children.items()}
             value.update({f"@{k}": v for k, v in attributes.items()})
         elif attributes:
-            value = {**attributes, "_text": "".join(text).strip()}
+            value = {**attributes, "_text": "".join(text).strip(CONTROL)}
         else:
-            value = "".join(text).strip()
+            value = "".join(text).strip(CONTROL)
         self.stack[-1][3].setdefault(label, []).append(value)
 
     def root(self) -> dict:

@@ -45,7 +45,7 @@ def throttle_aligned(spark, folder):
 @query(
     "throttle_rate",
     _ALIGNED
-    + """SELECT q AS "queueName", tokens, count(*) FILTER (WHERE granted) AS granted, count(*) AS asked,
+    + """SELECT q AS "queueName", tokens::BIGINT AS tokens, count(*) FILTER (WHERE granted) AS granted, count(*) AS asked,
     round(count(*) FILTER (WHERE granted) / ((max(ms) - min(ms)) / 1000.0), 9) AS rate
   FROM asked WHERE tokens IS NOT NULL GROUP BY q, tokens""",
 )

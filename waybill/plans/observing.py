@@ -83,7 +83,7 @@ def throughput(spark, folder):
         for no, ((_, name, _), short) in enumerate(zip(metrics.METRICS, _COLUMNS.values()))
     )
     + """)
-  SELECT no AS "metricNo", 2 AS part, label, name || '{queue="' || label || '"} ' || v AS line FROM long """
+  SELECT no::BIGINT AS "metricNo", 2::BIGINT AS part, label, name || '{queue="' || label || '"} ' || v AS line FROM long """
     + " ".join(
         f"UNION ALL SELECT {no}, 0, '', '# HELP {name} {text}' UNION ALL SELECT {no}, 1, '', '# TYPE {name} counter'"
         for no, (_, name, text) in enumerate(metrics.METRICS)

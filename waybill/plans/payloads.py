@@ -19,9 +19,9 @@ from waybill.sources.envelopes import table
     "canonical_projection",
     views.CHATS
     + """SELECT id AS "messageIdHex", '' AS "correlationIdHex", body AS "payloadString", turn AS "timestampMs",
-    q AS "queueName", 1208 AS ccsid, 546 AS encoding, 4 AS priority, -1 AS expiry, 0 AS "backoutCount",
-    NULL::VARCHAR AS "replyToQueue", NULL::VARCHAR AS "replyToQueueManager", 'MQSTR' AS format, 0 AS persistence,
-    8 AS "messageType", NULL::VARCHAR AS "userId", NULL::VARCHAR AS "applicationName", 0 AS "putApplicationType",
+    q AS "queueName", 1208::BIGINT AS ccsid, 546::BIGINT AS encoding, 4::BIGINT AS priority, (-1)::BIGINT AS expiry, 0::BIGINT AS "backoutCount",
+    NULL::VARCHAR AS "replyToQueue", NULL::VARCHAR AS "replyToQueueManager", 'MQSTR' AS format, 0::BIGINT AS persistence,
+    8::BIGINT AS "messageType", NULL::VARCHAR AS "userId", NULL::VARCHAR AS "applicationName", 0::BIGINT AS "putApplicationType",
     CASE WHEN conv_id > 0 THEN grp END AS "groupIdHex", turn + 1 AS "messageSequenceNumber" FROM c""",
 )
 def canonical_projection(spark, folder):
@@ -47,7 +47,7 @@ _CCSIDS = [1208, 819, 1252, 437, 500, 37, 9999]
 @query(
     "ccsid_decode",
     views.CHATS
-    + r"""SELECT id AS "messageIdHex", [1208, 819, 1252, 437, 500, 37, 9999][(conv_id + turn) % 7 + 1] AS ccsid,
+    + r"""SELECT id AS "messageIdHex", [1208, 819, 1252, 437, 500, 37, 9999][(conv_id + turn) % 7 + 1]::BIGINT AS ccsid,
     CASE WHEN (conv_id + turn) % 7 IN (0, 6) THEN body
       WHEN (conv_id + turn) % 7 <= 2 THEN regexp_replace(body, '[^\x00-\x7e\xa0-\xff]', '?', 'g')
       ELSE regexp_replace(body, '[^\x00-\x7e]', '?', 'g') END AS text FROM c""",

@@ -60,7 +60,7 @@ def multi_queue_claim(spark, folder):
 @query(
     "commit_batch",
     _UNREAD
-    + """SELECT 7 AS "batchId", q AS "queueName", id AS "messageIdHex", backout + 1 AS attempt, 'COMMIT' AS outcome
+    + """SELECT 7::BIGINT AS "batchId", q AS "queueName", id AS "messageIdHex", backout + 1 AS attempt, 'COMMIT' AS outcome
   FROM unread WHERE rn <= 1000""",
 )
 def commit_batch(spark, folder):
