@@ -43,6 +43,17 @@ def test_claim_skips_committed_but_not_rolled_back(spark, messages):
     assert ids(claim.claim_batch(df, log, ["TEST.QUEUE"])) == [2, 3]
 
 
+def test_claim_since_the_settled_time_is_the_same(spark, messages):
+    df = messages(*[{"ms": 1000 + i // 2} for i in range(9)])
+    log = delivery.settle(df.filter(F.unix_millis("timestamp") < 1003), 1, "COMMIT", F.col("timestamp"))
+    until = claim.settled_until(df, log)
+    assert until == 1003
+    args = df, log, ["TEST.QUEUE"], 2
+    assert ids(claim.claim_batch(*args, since_ms=until)) == ids(claim.claim_batch(*args)) == [7, 8]
+    everything = delivery.settle(df, 1, "COMMIT", F.col("timestamp"))
+    assert claim.settled_until(df, everything) is None
+
+
 def test_claim_size_must_be_positive(spark, messages):
     with pytest.raises(ValueError):
         claim.claim_batch(messages({}), spark.createDataFrame([], NO_LOG), ["A"], 0)

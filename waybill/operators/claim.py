@@ -39,16 +39,28 @@ def _with_payload(messages: DataFrame, picked: DataFrame, bound: int) -> DataFra
     return near.join(F.broadcast(ids) if bound <= BROADCAST_ROWS else ids, KEY)
 
 
-def claim_batch(messages: DataFrame, log: DataFrame, queues: list[str], batch_size: int = 1000) -> DataFrame:
+def settled_until(messages: DataFrame, log: DataFrame) -> int | None:
+    """Put time (ms) before which nothing is unread, to pass to the next claims as ``since_ms``."""
+    return unread(messages.select(*KEY, "timestamp"), log).agg(F.min(F.unix_millis("timestamp"))).first()[0]
+
+
+def claim_batch(
+    messages: DataFrame, log: DataFrame, queues: list[str], batch_size: int = 1000, since_ms: int | None = None
+) -> DataFrame:
     """The first ``batch_size`` unread messages of each named queue, with their ``position``.
 
     Only ids and put times are shuffled to find the claim; the payload is read afterwards, for the
-    claimed ids. Claiming changes nothing: see ``delivery.settle``.
+    claimed ids. ``since_ms`` says that everything put earlier is settled: older messages, and log rows
+    written before that time, are then not read. Claiming changes nothing: see ``delivery.settle``.
     """
     if batch_size <= 0:
         raise ValueError("batch_size must be positive")
     wanted = messages.filter(F.col("queueName").isin(*queues))
-    heads = unread(wanted.select(*KEY, "timestamp"), log.filter(F.col("queueName").isin(*queues)))
+    log = log.filter(F.col("queueName").isin(*queues))
+    if since_ms is not None:
+        since = F.timestamp_millis(F.lit(since_ms))
+        wanted, log = wanted.filter(F.col("timestamp") >= since), log.filter(F.col("ts") >= since)
+    heads = unread(wanted.select(*KEY, "timestamp"), log)
     picked = first_n(heads, ["queueName"], QUEUE_ORDER, batch_size)
     return _with_payload(wanted, picked, batch_size * len(queues))
 
