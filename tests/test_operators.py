@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from waybill import schema
 from waybill.functions import sizes
-from waybill.operators import checkpoints, chunks, claim, control, delivery, offload, ordered, progress, recovery
+from waybill.operators import checkpoints, chunks, claim, control, delivery, metrics, offload, ordered, progress, recovery
 from waybill.operators import queue_config as config
 from waybill.operators import throttle as buckets
 from waybill.operators.joins import salted_join
@@ -128,6 +128,9 @@ def test_message_table_prunes_queues_and_columns(spark, messages):
     plan = one.select("messageIdHex", "priority")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [queueName" in plan.replace("isnotnull(", "") or "queueName" in plan.split("PartitionFilters")[1]
     assert "payload" not in plan.split("ReadSchema")[1]
+    counted = metrics.queue_metrics(messages=tables.read_messages(spark, path))
+    schema_read = counted._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[1]
+    assert "payloadSize" in schema_read and "payload:" not in schema_read
 
 
 # Schema

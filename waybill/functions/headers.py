@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -15,6 +15,12 @@ def payload_size(payload: Column) -> Column:
     return F.octet_length(payload).cast("bigint")
 
 
+def stored_size(messages: DataFrame) -> Column:
+    """Payload bytes from the ``payloadSize`` column of message tables, so that counting bytes reads no
+    payload; computed where a table has no such column."""
+    return F.col("payloadSize") if "payloadSize" in messages.columns else payload_size(F.col("payload"))
+
+
 def is_redelivered(backout_count: Column) -> Column:
     return backout_count > 0
 

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from waybill.functions.headers import stored_size
 from waybill.functions.redact import redact_map
 
 FIELDS = (
@@ -77,7 +78,7 @@ def received(messages: DataFrame, qm: str, source: str) -> DataFrame:
         source,
         message_id=F.col("messageIdHex"),
         correlation_id=F.col("correlationIdHex"),
-        details={"bytes": F.octet_length("payload"), "userId": F.col("userId")},
+        details={"bytes": stored_size(messages), "userId": F.col("userId")},
     )
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from waybill.functions.headers import stored_size
+
 KEY = ["queueName", "partitionId"]
 FIELDS = (
     "queueName",
@@ -39,7 +41,7 @@ def build_checkpoints(batch: DataFrame, queue_manager: str, created_at: Column,
             F.max_by("correlationIdHex", F.when(has_correlation, order)).alias("lastCorrelationId"),
             F.max(F.unix_millis("timestamp")).alias("lastProcessedTimestamp"),
             F.count("*").alias("messagesProcessed"),
-            F.sum(F.octet_length("payload").cast("bigint")).alias("bytesProcessed"),
+            F.sum(stored_size(batch)).alias("bytesProcessed"),
         )
         .withColumns({"queueManager": F.lit(queue_manager), "createdAt": created_at})
         .select(*FIELDS, *extra_keys)

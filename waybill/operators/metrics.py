@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waybill.functions.headers import latency_ms, payload_size
+from waybill.functions.headers import latency_ms, stored_size
 
 # Counter column, exported metric name, help text; in export order.
 METRICS = (
@@ -48,7 +48,7 @@ def queue_metrics(
     if messages is not None:
         parts.append(
             messages.groupBy(F.col("queueName").alias("label")).agg(
-                F.count("*").alias("messagesReceived"), F.sum(payload_size(F.col("payload"))).alias("bytesReceived")
+                F.count("*").alias("messagesReceived"), F.sum(stored_size(messages)).alias("bytesReceived")
             )
         )
     if log is not None:
@@ -148,7 +148,7 @@ def processing_times(messages: DataFrame) -> DataFrame:
 
 def sent_counts(routed: DataFrame) -> DataFrame:
     return routed.filter(F.col("targetQueue").isNotNull()).groupBy("targetQueue").agg(
-        F.count("*").alias("messagesSent"), F.sum(payload_size(F.col("payload"))).alias("bytesSent")
+        F.count("*").alias("messagesSent"), F.sum(stored_size(routed)).alias("bytesSent")
     )
 
 

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waybill.functions.headers import payload_size
+from waybill.functions.headers import stored_size
 from waybill.functions.sizes import SizeProfile, payload_decision, should_offload
 
 
 def plan_offload(messages: DataFrame, profile: SizeProfile, location: str) -> DataFrame:
     """Add ``decision`` and ``payloadRef``, the content-addressed place an offloaded payload gets."""
-    size = payload_size(F.col("payload"))
+    size = stored_size(messages)
     planned = messages.withColumn(
         "payloadRef",
         F.when(

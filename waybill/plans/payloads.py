@@ -310,8 +310,9 @@ _TOO_BIG = "'Payload size (' || size || ' bytes) exceeds maximum allowed (20000
     size > 2000 AND size <= 20000 AS "shouldWarn", CASE WHEN size > 20000 THEN {_TOO_BIG} END AS rejection FROM d""",
 )
 def size_check(spark, folder):
-    check = sizes.size_check(headers.payload_size(F.col("payload")), PROFILE)
-    return views.documents(spark, folder).select("messageIdHex", check.alias("c")).select("messageIdHex", "c.*")
+    docs = views.documents(spark, folder)
+    check = sizes.size_check(headers.stored_size(docs), PROFILE)
+    return docs.select("messageIdHex", check.alias("c")).select("messageIdHex", "c.*")
 
 
 @query(

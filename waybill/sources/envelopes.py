@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waybill.functions.charset import decode_payload
+from waybill.functions.headers import payload_size
 
 EPOCH = "1970-01-01 00:00:00"
 
@@ -60,6 +61,7 @@ def as_messages(
         "messageIdHex": key_hex(key),
         "correlationIdHex": correlation,
         "receivedAt": headers.get("receivedAt", put),
+        "payloadSize": payload_size(body),
     }
     return df.select(*[c.alias(n) for n, c in columns.items()], *extra)
 

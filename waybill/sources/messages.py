@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from waybill.schema import CANONICAL
 
@@ -14,6 +14,7 @@ TABLE_SCHEMA = StructType(
         StructField("messageIdHex", StringType(), False),
         StructField("correlationIdHex", StringType(), True),
         StructField("receivedAt", TimestampType(), True),
+        StructField("payloadSize", LongType(), True),
     ]
 )
 

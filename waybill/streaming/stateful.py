@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from waybill.operators import metrics
+from waybill.functions.headers import stored_size
 from waybill.operators.throttle import SECOND, bucket_windows, open_windows, throttle
 from waybill.session import materialize
 
@@ -51,7 +51,7 @@ def counter_stream(messages: DataFrame, window: str, delay: str) -> DataFrame:
         .groupBy(F.window("timestamp", window), "queueName")
         .agg(
             F.count("*").alias("messagesReceived"),
-            F.sum(metrics.payload_size(F.col("payload"))).alias("bytesReceived"),
+            F.sum(stored_size(messages)).alias("bytesReceived"),
         )
         .select(
             "queueName",
