@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import bpe
+from waybill.llm import bpe, packing
 from waybill.llm.common import table
 from waybill.llm.registry import query
 
@@ -19,3 +19,9 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query("op2_curve_packing")
+def op2_curve_packing(spark: SparkSession, folder: str) -> DataFrame:
+    packed = packing.pack(table(spark, folder, "documents"))
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
