@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import bpe, packing
+from waybill.llm import bpe, near_dups, packing
 from waybill.llm.common import table
 from waybill.llm.registry import query
 
@@ -25,3 +25,8 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 def op2_curve_packing(spark: SparkSession, folder: str) -> DataFrame:
     packed = packing.pack(table(spark, folder, "documents"))
     return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query("op3_minhash_dedup")
+def op3_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dups.near_duplicates(table(spark, folder, "documents"), words=4)
