@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import bpe, near_dups, packing
+from waybill.llm import bpe, near_dups, outliers, packing
 from waybill.llm.common import table
 from waybill.llm.registry import query
 
@@ -30,3 +30,8 @@ def op2_curve_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_minhash_dedup")
 def op3_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, folder, "documents"), words=4)
+
+
+@query("op5_robust_outliers")
+def op5_robust_outliers(spark: SparkSession, folder: str) -> DataFrame:
+    return outliers.judge(table(spark, folder, "documents"))
