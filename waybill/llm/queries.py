@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import bpe, near_dups, outliers, packing
+from waybill.llm import bpe, fingerprints, near_dups, outliers, packing
 from waybill.llm.common import table
 from waybill.llm.registry import query
 
@@ -35,3 +35,17 @@ def op3_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_robust_outliers")
 def op5_robust_outliers(spark: SparkSession, folder: str) -> DataFrame:
     return outliers.judge(table(spark, folder, "documents"))
+
+
+@query("op8_bottom_k")
+def op8_bottom_k(spark: SparkSession, folder: str) -> DataFrame:
+    found = fingerprints.edited(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        fingerprints.text_of(F.col("sketch")).alias("fingerprint"),
+        fingerprints.text_of(F.col("edited_sketch")).alias("edited_fingerprint"),
+        fingerprints.resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        fingerprints.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+    )
