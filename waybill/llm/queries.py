@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import bpe, fingerprints, near_dups, outliers, packing
+from waybill.llm import bpe, fingerprints, near_dups, outliers, packing, secret_scan, sharding
 from waybill.llm.common import table
 from waybill.llm.registry import query
 
@@ -49,3 +49,22 @@ def op8_bottom_k(spark: SparkSession, folder: str) -> DataFrame:
         fingerprints.resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
         fingerprints.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
     )
+
+
+@query("op6_external_shuffle")
+def op6_external_shuffle(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.assign(table(spark, folder, "documents"), shards=8, law="rows")
+
+
+@query("op9_nested_secrets")
+def op9_nested_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.scan_documents(table(spark, folder, "documents"))
+    plain = F.filter("spans", lambda s: s["depth"] == 0)
+    count = lambda kind: F.size(F.filter(plain, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in secret_scan.KINDS],
+        F.sha2(secret_scan.listing(plain).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.listing(F.col("spans")).alias("spans"),
+        "cut",
+    )
