@@ -2,14 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import bpe, fingerprints, near_dups, outliers, packing, secret_scan, sharding
+from waybill.llm import bpe, fingerprints, near_dups, outliers, packing, secret_scan, sharding, toxicity
 from waybill.llm.common import table
 from waybill.llm.registry import query
 
 
+def learned_toxicity(spark: SparkSession, folder: str) -> toxicity.Model:
+    """The model of a folder's labels, without those of the held-out rows."""
+    labels = table(spark, folder, "labels").where(~held_out(4, 2))
+    return toxicity.fit(table(spark, folder, "documents"), labels)
+
+
+def held_out(parts: int, part: int) -> Column:
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts == part, F.lit(False))
+
+
+@query("op1_toxicity")
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    model = learned_toxicity(spark, folder)
+    scored = toxicity.score(table(spark, folder, "documents"), model)
+    return scored.select("doc_id", held_out(4, 2).alias("held_out"), "score", "predicted")
+
+
 @query("op10_bpe")
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     coded = bpe.decode(bpe.encode(table(spark, folder, "documents")))
