@@ -23,8 +23,9 @@ from waybill.llm.common import keyed_text
 
 #: Labelled rows of each class that are learned from at most; they are chosen by a hash of the key.
 CLASS_ROWS = 8_000
-#: Toxic training rows a term must be in at least (also as a share), and how much likelier it must be there.
-LEAST_ROWS, LEAST_SHARE, LEAST_RATIO = 3, 0.002, 12.0
+#: Toxic training rows a term must be in at least (also as a share), how much likelier it must be there, and the
+#: least G statistic of that: 16 is left to chance about once in ten thousand terms.
+LEAST_ROWS, LEAST_SHARE, LEAST_RATIO, LEAST_G = 3, 0.002, 8.0, 16.0
 #: Beginnings of words count as terms from this length on.
 STEM = 4
 #: Letters that look like Latin ones, and digits that stand for letters.
@@ -137,9 +138,13 @@ def lexicon(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean:
     out if a shorter beginning already tells as much.
     """
     weights = {}
+    share = n_toxic / (n_toxic + n_clean)
     for term, n in toxic.items():
-        weight = math.log((n + 0.5) / (n_toxic + 1)) - math.log((clean.get(term, 0) + 0.5) / (n_clean + 1))
-        if weight >= math.log(ratio):
+        other = clean.get(term, 0)
+        expected = (n + other) * share, (n + other) * (1 - share)
+        g = 2 * (n * math.log(n / expected[0]) + (other * math.log(other / expected[1]) if other else 0.0))
+        weight = math.log((n + 0.5) / (n_toxic + 1)) - math.log((other + 0.5) / (n_clean + 1))
+        if weight >= math.log(ratio) and g >= LEAST_G:
             weights[term] = weight
     for term in sorted(weights, key=len, reverse=True):
         # A word that is nearly all there is of its beginnings stands for them.
