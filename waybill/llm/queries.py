@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import bpe, fingerprints, near_dups, outliers, packing, secret_scan, sharding, toxicity
+from waybill.llm import bpe, fingerprints, html_extract, near_dups, outliers, packing, secret_scan, sharding, toxicity
 from waybill.llm.common import table
 from waybill.llm.registry import query
 
@@ -49,6 +49,12 @@ def op3_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, folder, "documents"), words=4)
 
 
+@query("op4_wrapper_text")
+def op4_wrapper_text(spark: SparkSession, folder: str) -> DataFrame:
+    found = html_extract.extract(table(spark, folder, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @query("op5_robust_outliers")
 def op5_robust_outliers(spark: SparkSession, folder: str) -> DataFrame:
     return outliers.judge(table(spark, folder, "documents"))
