@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import bpe, fingerprints, html_extract, near_dups, outliers, packing, secret_scan, sharding, toxicity
+from waybill.llm import bpe, fingerprints, html_extract, lm, near_dups, outliers, packing, secret_scan, sharding, toxicity
 from waybill.llm.common import table
 from waybill.llm.registry import query
 
@@ -60,6 +60,12 @@ def op5_robust_outliers(spark: SparkSession, folder: str) -> DataFrame:
     return outliers.judge(table(spark, folder, "documents"))
 
 
+@query("op7_log_bilinear")
+def op7_log_bilinear(spark: SparkSession, folder: str) -> DataFrame:
+    scored = lm.score(table(spark, folder, "documents"), ~held_out(5, 1))
+    return scored.withColumn("held_out", held_out(5, 1))
+
+
 @query("op8_bottom_k")
 def op8_bottom_k(spark: SparkSession, folder: str) -> DataFrame:
     found = fingerprints.edited(table(spark, folder, "documents"))
