@@ -1,3 +1,70 @@
-"""The corpus pipeline: every stage takes what its predecessor kept and writes Parquet for the next one."""
+"""The corpus pipeline: quality rules, toxicity, near-duplicates, secrets, packing.
 
-STAGES = []
+Every stage takes what its predecessor kept; all but the last return the columns of the documents table.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from waybill.llm import near_dups, outliers, packing, secret_scan, toxicity
+from waybill.llm.common import table
+from waybill.llm.queries import learned_toxicity
+from waybill.llm.registry import query
+from waybill.session import materialize, prepare
+
+#: Score from which a document counts as toxic and goes.
+TOXIC = 0.3
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail a base rule or lie far from their language and source go."""
+    prepare(spark)
+    lost = materialize(outliers.judge(docs).where(~F.col("kept")).select("doc_id").distinct(), "lost")
+    return docs.join(lost, "doc_id", "left_anti").select(docs.columns)
+
+
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a toxic score go; the model is learned from the labels of the whole table."""
+    model = learned_toxicity(prepare(spark), sf_dir)
+    scored = toxicity.with_score(docs, model, column="_toxic")
+    return scored.where(F.col("_toxic") < TOXIC).drop("_toxic")
+
+
+def near_duplicate_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates (five-word shingles, similarity 0.8 or more) one document stays."""
+    prepare(spark)
+    return near_dups.representatives(docs, near_dups.near_duplicates(docs)).select(docs.columns)
+
+
+def secret_mask(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are masked, also where they are encoded."""
+    prepare(spark)
+    return secret_scan.mask_documents(docs)
+
+
+def curve_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of 4,096 tokens of neighbouring documents."""
+    prepare(spark)
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("toxicity", toxicity_filter),
+    ("near-duplicates", near_duplicate_filter),
+    ("secrets", secret_mask),
+    ("packing", curve_packing),
+]
+
+#: Robust estimates, learned weights and Hilbert order are not SQL.
+ORACLE_SQL = None
+
+
+@query("pipeline")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return docs

@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waybill.llm.bpe import sliced
@@ -152,8 +152,8 @@ def near_duplicates(
     Two documents are linked if 100 * intersection >= percent * union of their sets of ``words``-word shingles;
     the component's id is its smallest key, and that document is kept. Null texts, empty texts and texts of white
     space alone have no shingles and are linked with nothing, not even with each other. Rows that repeat a key
-    all stay and count as linked, whatever their texts. Keys must be integers and not null (rows with a null key come back
-    with a null component and are not kept).
+    all stay and count as linked, whatever their texts. Keys are integers; a
+    row with a null key has a null component, is linked with nothing and kept.
     """
     source = keyed_text(docs, key, text)
     kind = source.schema["doc_id"].dataType.simpleString()
@@ -200,7 +200,7 @@ def near_duplicates(
     found = filled.select("doc_id", "set1", "set2", "n_shingles").join(labelled, ["set1", "set2", "n_shingles"])
     alone = sketches.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     result = found.select("doc_id", "n_shingles", "component_id").unionByName(alone)
-    return result.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+    return result.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def _placed(coarse: DataFrame, classes: DataFrame) -> DataFrame:
@@ -250,6 +250,13 @@ def _links(
 
 
 def representatives(docs: DataFrame, found: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns."""
-    keep: Column = F.col("kept")
-    return docs.join(found.where(keep).select(F.col("doc_id").alias(key)).distinct(), key, "left_semi")
+    """One row of ``docs`` for each component of ``near_duplicates``' result, with all columns; null keys stay.
+
+    Of rows that repeat a kept key, any one stays.
+    """
+    lost = materialize(found.where(~F.col("kept")).select(F.col("doc_id").alias(key)).distinct(), "lost")
+    again = found.where("kept").groupBy(F.col("doc_id").alias(key)).agg(F.count("*").alias("n")).where("n > 1").select(key)
+    again = materialize(again, "again")
+    kept = docs.join(lost, key, "left_anti")
+    repeated = kept.join(again, key, "left_semi").dropDuplicates([key])
+    return kept.join(again, key, "left_anti").unionByName(repeated)

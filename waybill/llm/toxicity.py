@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from waybill.llm.bpe import sliced
 from waybill.llm.common import keyed_text
@@ -225,21 +226,21 @@ def _exceptions(rows: DataFrame, weights: dict[str, float]) -> frozenset[str]:
     return frozenset(r["phrase"] for r in counted.where("toxic = 0 and n >= 2").select("phrase").collect())
 
 
-def score(docs: DataFrame, model: Model, threshold: float = 0.3, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, score, predicted`` of every row's whole text; null texts count as empty, which have no hits.
-
-    Repeated rows each give a row; there is no shuffle.
-    """
+def with_score(docs: DataFrame, model: Model, text: str = "text", column: str = "score") -> DataFrame:
+    """``docs`` with one more column: the score of each row's whole text. Null texts count as empty; there is no shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(model.weights, model.exceptions)
         a, b, constant = model.coefficients
         for whole in batches:
-            for part, texts in sliced(whole):
-                found = np.array([matcher.features(t) for t in texts])
-                scores = 1 / (1 + np.exp(-np.clip(found @ np.array([a, b]) + constant, -30, 30)))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores)], names=["doc_id", "score"])
+            found = np.array([matcher.features(t.as_py() or "") for t in whole.column(whole.schema.get_field_index(text))]).reshape(-1, 2)
+            scores = 1 / (1 + np.exp(-np.clip(found @ np.array([a, b]) + constant, -30, 30)))
+            yield whole.append_column(column, pa.array(scores))
 
-    source = keyed_text(docs, key, text)
-    out = source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, score double")
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(column, DoubleType())]))
+
+
+def score(docs: DataFrame, model: Model, threshold: float = 0.3, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, score, predicted`` of every row's whole text; empty texts have no hits. Repeated rows each give a row."""
+    out = with_score(keyed_text(docs, key, text), model).select("doc_id", "score")
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
