@@ -160,13 +160,16 @@ def parse(page: str) -> Node:
 
 
 def runs(node: Node) -> Iterator[list[Node]]:
-    """Block children in order, equal ones next to each other together."""
+    """Block children in order, those of one label and with like children next to each other together."""
     run: list[Node] = []
+    kind = None
     for part in node.parts:
         if isinstance(part, Node) and not part.inline:
-            if run and run[0].label != part.label:
+            own = part.label, frozenset(p.label for p in part.parts if isinstance(p, Node) and not p.inline)
+            if run and own != kind:
                 yield run
                 run = []
+            kind = own
             run.append(part)
     if run:
         yield run
@@ -180,8 +183,7 @@ def text_key(nodes: list[Node]) -> tuple[int, int]:
         part = stack.pop()
         if isinstance(part, Node):
             stack += reversed(part.parts)
-        elif part.strip():
-            words = " ".join(part.split())
+        elif words := " ".join(part.replace("\0", " ").split()):
             crc, size = zlib.crc32(words.encode("utf-8", "replace"), crc), size + len(words)
     return crc, size
 
@@ -354,7 +356,8 @@ def content(root: Node, rule: str | None) -> str:
     prefix = "/" + "/".join(path)
     for start in starts:
         flush()
-        walk(start, prefix)
+        if text_key([start])[0] not in same.get(prefix, ()):
+            walk(start, prefix)
         flush()
     return "\n".join(blocks)
 
