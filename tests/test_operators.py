@@ -43,15 +43,27 @@ def test_claim_skips_committed_but_not_rolled_back(spark, messages):
     assert ids(claim.claim_batch(df, log, ["TEST.QUEUE"])) == [2, 3]
 
 
-def test_claim_since_the_settled_time_is_the_same(spark, messages):
-    df = messages(*[{"ms": 1000 + i // 2} for i in range(9)])
-    log = delivery.settle(df.filter(F.unix_millis("timestamp") < 1003), 1, "COMMIT", F.col("timestamp"))
-    until = claim.settled_until(df, log)
-    assert until == 1003
-    args = df, log, ["TEST.QUEUE"], 2
-    assert ids(claim.claim_batch(*args, since_ms=until)) == ids(claim.claim_batch(*args)) == [7, 8]
-    everything = delivery.settle(df, 1, "COMMIT", F.col("timestamp"))
-    assert claim.settled_until(df, everything) is None
+def test_claim_of_what_landed_since_is_the_same(spark, messages):
+    """Late and undated messages are claimed, whatever the put times and the log's clock say."""
+    df = messages(*[{"ms": 1000 + i // 2} for i in range(9)], {"ms": 1}, {})
+    number = F.conv(F.right("messageIdHex", F.lit(2)), 16, 10).cast("int")
+    df = df.withColumn("load", F.when(number <= 6, 0).otherwise(1))
+    df = df.withColumn("timestamp", F.when(number < 11, F.col("timestamp")))
+    log = delivery.settle(df.filter("load = 0"), 1, "COMMIT", F.timestamp_millis(F.lit(0)))
+    until = claim.settled_until(df, log, "load")
+    assert until == 1
+    args = df, log, ["TEST.QUEUE"], 9
+    assert ids(claim.claim_batch(*args, landed=F.col("load") >= until)) == ids(claim.claim_batch(*args)) == [7, 8, 9, 10, 11]
+    assert claim.settled_until(df, delivery.settle(df, 1, "COMMIT", F.col("timestamp")), "load") is None
+
+
+def test_consumers_share_a_log(spark, messages):
+    df, path = messages({}, {}), shared_dir(spark, "test-log")
+    for consumer in ("a", "b", "b"):
+        delivery.append_log(delivery.settle(df, 0, "COMMIT", F.current_timestamp(), consumer=consumer), path)
+    log = delivery.read_log(spark, path)
+    assert {r["consumer"]: r["count"] for r in log.groupBy("consumer").count().collect()} == {"a": 2, "b": 2}
+    assert delivery.next_try(log, 0, "a") == 1
 
 
 def test_claim_size_must_be_positive(spark, messages):
@@ -271,13 +283,29 @@ def test_chunk_reduction(messages):
 def test_offload_is_lossless(spark, messages):
     df, path = messages({"payload": b"a" * 50}, {"payload": b"b" * 500}, {"payload": b"c" * 5000}), shared_dir(spark, "test-off")
     planned = offload.plan_offload(df, sizes.SizeProfile(1000, 100, True, 200), path)
-    offload.write_offloaded(planned, path)
+    offload.write_offloaded(planned, path, 0)
     assert [r["decision"]["action"] for r in planned.orderBy("messageIdHex").collect()] == ["Process", "Offloaded", "Reject"]
     stored = spark.read.parquet(path)
     assert [bytes(r["payload"]) for r in stored.collect()] == [b"b" * 500]
     kept = offload.slim(planned).orderBy("messageIdHex").collect()
     assert [r["payload"] is None for r in kept] == [False, True, False]
     assert kept[1]["payloadRef"] == stored.first()["payloadRef"]
+    more = offload.plan_offload(messages({"payload": b"d" * 600}), sizes.SizeProfile(1000, 100, True, 200), path)
+    offload.write_offloaded(more, path, 1)
+    offload.write_offloaded(more, path, 1)
+    store = offload.read_offloaded(spark, path)
+    for part in (planned, more):
+        back = offload.restore(offload.slim(part), store)
+        assert sorted(bytes(r["payload"]) for r in back.collect()) == sorted(bytes(r["payload"]) for r in part.collect())
+
+
+def test_routed_batches_stay(spark, messages):
+    path = shared_dir(spark, "test-routed")
+    for batch_id, text in ((0, "first"), (1, "second"), (1, "second")):
+        df = messages({"payload": text, "backout": 9})
+        recovery.write_routed(recovery.route(df, 3, F.lit("MoveToDeadLetter")), path, batch_id)
+    rows = spark.read.parquet(path).filter("targetQueue = 'DEAD.LETTER'").collect()
+    assert sorted(bytes(r["payload"]) for r in rows) == [b"first", b"second"]
 
 
 # Checkpoints

@@ -3,17 +3,23 @@
 from __future__ import annotations
 
 import json
+import re
 from xml.parsers import expat
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType
+from pyspark.sql.types import DataType, LongType, StringType
 
 from waybill.functions.charset import CONTROL, trimmed
 
-# Leading zeros and raw control characters are let through; quotes and NaN are not relaxed.
+# Leading zeros and raw control characters are let through; quotes and NaN are not relaxed. The reader's own
+# limits on strings and numbers are lifted, its limit on levels is what a task's stack of 1 MB holds while a VARIANT is built.
+MOST_LEVELS = 1_500
 _JSON_OPTIONS = {
+    "maxStringLen": "2147483647",
+    "maxNumLen": "2147483647",
+    "maxNestingDepth": str(MOST_LEVELS),
     "allowNumericLeadingZeros": "true",
     "allowUnquotedControlChars": "true",
     "allowSingleQuotes": "false",
@@ -87,7 +93,54 @@ def _xml_to_json(text: str | None) -> str | None:
         parser.Parse(text, True)
     except (expat.ExpatError, ValueError):
         return None
-    return json.dumps(document.root(), ensure_ascii=False)
+    return _dumps(document.root())
+
+
+def _dumps(value: dict) -> str:
+    """JSON text of nested dicts, lists and strings of any depth."""
+    out: list[str] = []
+    # What is still to be written: values, and pieces of text in tuples.
+    left: list = [value]
+    while left:
+        at = left.pop()
+        if isinstance(at, tuple):
+            out.append(at[0])
+        elif isinstance(at, str):
+            out.append(json.dumps(at, ensure_ascii=False))
+        elif isinstance(at, list):
+            parts = [x for v in at for x in ((", ",), v)][1:]
+            left += [("]",), *reversed(parts), ("[",)]
+        else:
+            parts = [x for k, v in at.items() for x in ((", ",), (json.dumps(k, ensure_ascii=False) + ": ",), v)][1:]
+            left += [("}",), *reversed(parts), ("{",)]
+    return "".join(out)
+
+
+@F.pandas_udf(LongType())
+def _levels(text: pd.Series) -> pd.Series:
+    def deepest(value: str) -> int:
+        depth = most = 0
+        for found in _BRACKETS.finditer(value):
+            if found[0][0] != '"':
+                depth += 1 if found[0] in "{[" else -1
+                most = max(most, depth)
+        return most
+
+    return text.map(deepest, na_action="ignore")
+
+
+_BRACKETS = re.compile(r'"(?:[^"\\]|\\.)*"|[{}\[\]]', re.DOTALL)
+
+
+def too_deep(text: Column) -> Column:
+    """Whether JSON text nests deeper than a VARIANT may. Only text with so many brackets is looked through."""
+    many = F.length(text) - F.length(F.translate(text, "{[", "")) > MOST_LEVELS
+    return F.coalesce(_levels(F.when(many, text)) > MOST_LEVELS, F.lit(False))
+
+
+def variant_of_json(text: Column) -> Column:
+    """VARIANT of JSON text that is known to be right, without the reader's own limits."""
+    return F.from_json(text, "variant", _JSON_OPTIONS)
 
 
 @F.pandas_udf(StringType())

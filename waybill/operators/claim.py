@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from waybill.operators.joins import join_dimension
@@ -39,34 +39,42 @@ def _with_payload(messages: DataFrame, picked: DataFrame, bound: int) -> DataFra
     return near.join(F.broadcast(ids) if bound <= BROADCAST_ROWS else ids, KEY)
 
 
-def settled_until(messages: DataFrame, log: DataFrame) -> int | None:
-    """Put time (ms) before which nothing is unread, to pass to the next claims as ``since_ms``."""
-    return unread(messages.select(*KEY, "timestamp"), log).agg(F.min(F.unix_millis("timestamp"))).first()[0]
+def settled_until(messages: DataFrame, log: DataFrame, landing: str):
+    """The first value of the ``landing`` column that has an unread message, null if there is none.
+
+    ``landing`` says when or in which load a message came into the table (an ingest batch, a file partition).
+    It never goes back, unlike put times, so the next claims may be bound to ``F.col(landing) >= value``.
+    """
+    return unread(messages.select(*KEY, landing), log).agg(F.min(landing)).first()[0]
 
 
 def claim_batch(
-    messages: DataFrame, log: DataFrame, queues: list[str], batch_size: int = 1000, since_ms: int | None = None
+    messages: DataFrame, log: DataFrame, queues: list[str], batch_size: int = 1000, landed: Column | None = None
 ) -> DataFrame:
     """The first ``batch_size`` unread messages of each named queue, with their ``position``.
 
     Only ids and put times are shuffled to find the claim; the payload is read afterwards, for the
-    claimed ids. ``since_ms`` says that everything put earlier is settled: older messages, and log rows
-    written before that time, are then not read. Claiming changes nothing: see ``delivery.settle``.
+    claimed ids. ``landed`` is a condition on how messages landed (see ``settled_until``): the rest is known to be
+    settled and not read. Put times and the log's clock play no part. Claiming changes nothing: see
+    ``delivery.settle``.
     """
     if batch_size <= 0:
         raise ValueError("batch_size must be positive")
     wanted = messages.filter(F.col("queueName").isin(*queues))
     log = log.filter(F.col("queueName").isin(*queues))
-    if since_ms is not None:
-        since = F.timestamp_millis(F.lit(since_ms))
-        wanted, log = wanted.filter(F.col("timestamp") >= since), log.filter(F.col("ts") >= since)
+    if landed is not None:
+        wanted = wanted.filter(landed)
     heads = unread(wanted.select(*KEY, "timestamp"), log)
     picked = first_n(heads, ["queueName"], QUEUE_ORDER, batch_size)
     return _with_payload(wanted, picked, batch_size * len(queues))
 
 
-def claim_configured(messages: DataFrame, log: DataFrame, queue_config: DataFrame) -> DataFrame:
+def claim_configured(
+    messages: DataFrame, log: DataFrame, queue_config: DataFrame, landed: Column | None = None
+) -> DataFrame:
     """Like ``claim_batch`` for every enabled queue of ``queue_config``, each with its own batch size."""
+    if landed is not None:
+        messages = messages.filter(landed)
     enabled = queue_config.filter("enabled").select("queueName", "batchSize")
     size = enabled.agg(F.sum("batchSize").alias("total"), F.max("batchSize").alias("largest")).first()
     heads = unread(join_dimension(messages.select(*KEY, "timestamp"), enabled, ["queueName"]), log)

@@ -8,34 +8,42 @@ from pyspark.sql import functions as F
 from waybill.operators.claim import KEY
 
 LOG_SCHEMA = (
-    "queueName string, messageIdHex string, attempt int, ts timestamp, outcome string, batchId bigint, batchTry int"
+    "queueName string, messageIdHex string, attempt int, ts timestamp, outcome string, consumer string, batchId bigint, "
+    "batchTry int"
 )
-_PARTITIONS = ["outcome", "batchId", "batchTry"]
+_PARTITIONS = ["outcome", "consumer", "batchId", "batchTry"]
+#: Who settles batches that are claimed by hand; streams have names of their own.
+CONSUMER = "claims"
 
 
-def settle(batch: DataFrame, batch_id: int, outcome: str, at: Column, batch_try: int = 1) -> DataFrame:
+def settle(
+    batch: DataFrame, batch_id: int, outcome: str, at: Column, batch_try: int = 1, consumer: str = CONSUMER
+) -> DataFrame:
     """One log row per message of ``batch``; ``outcome`` is COMMIT or ROLLBACK for the whole batch.
 
-    ``batch_try`` counts how often the batch was tried; see ``next_try``.
+    ``batch_try`` counts how often the batch was tried; see ``next_try``. Batch ids are numbers of their
+    ``consumer``: two consumers may use the same ones in one log.
     """
     return batch.select(
         *KEY,
         (F.col("backoutCount") + 1).alias("attempt"),
         F.lit(outcome).alias("outcome"),
         at.alias("ts"),
+        F.lit(consumer).alias("consumer"),
         F.lit(batch_id).cast("bigint").alias("batchId"),
         F.lit(batch_try).alias("batchTry"),
     )
 
 
-def next_try(log: DataFrame, batch_id: int) -> int:
-    """1 plus the rollbacks of the batch so far. Reads only the folders of that batch."""
-    failed = log.filter((F.col("batchId") == batch_id) & (F.col("outcome") == "ROLLBACK"))
+def next_try(log: DataFrame, batch_id: int, consumer: str = CONSUMER) -> int:
+    """1 plus the rollbacks of the consumer's batch so far. Reads only the folders of that batch."""
+    mine = (F.col("batchId") == batch_id) & (F.col("consumer") == consumer)
+    failed = log.filter(mine & (F.col("outcome") == "ROLLBACK"))
     return 1 + (failed.agg(F.max("batchTry")).first()[0] or 0)
 
 
 def append_log(entries: DataFrame, path: str) -> None:
-    """Write log rows under their outcome, batch and try.
+    """Write log rows under their outcome, consumer, batch and try.
 
     Writing the same try of a batch again replaces it, so a replay adds nothing, while earlier tries
     stay on record. Readers of one outcome skip the files of the other.

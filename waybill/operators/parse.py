@@ -11,35 +11,50 @@ from pyspark.sql import functions as F
 
 from waybill.functions import formats
 from waybill.functions.charset import decode_payload, utf8
-from waybill.functions.parsing import json_variant, xml_json
+from waybill.functions.parsing import MOST_LEVELS, json_variant, too_deep, variant_of_json, xml_json
 from waybill.operators.joins import join_dimension
 
 @dataclass(frozen=True)
 class Parser:
     """One payload parser: ``accepts(format, payload)`` says which messages are meant for it, ``read`` gives
     the VARIANT of the payload, null where it cannot be read. Values are only read from rows the parser
-    is tried on: ``read`` gets their text, bytes and charset id, and nulls elsewhere."""
+    is tried on: ``read`` gets their text, bytes and charset id, and nulls elsewhere. ``beyond`` says of such a text
+    that could not be read that it is of this format all the same, so that no later parser may take it."""
 
     name: str
     accepts: Callable[[Column, Column], Column]
     read: Callable[[Column, Column, Column], Column]
     error: str
+    beyond: Callable[[Column], Column] | None = None
+
+
+# What a VARIANT holds, less its own header.
+VARIANT_BYTES = 128 * 1024 * 1024 - 64
+
+
+def _text_variant(text: Column) -> Column:
+    return F.when(F.octet_length(text) <= VARIANT_BYTES, text).cast("variant")
 
 
 JSON = Parser(
-    "JSON", formats.can_parse_json, lambda text, payload, ccsid: json_variant(text), "JSON parse error: no valid JSON value"
+    "JSON",
+    formats.can_parse_json,
+    lambda text, payload, ccsid: json_variant(text),
+    "JSON parse error: no valid JSON value",
+    too_deep,
 )
 XML = Parser(
     "XML",
     formats.can_parse_xml,
-    lambda text, payload, ccsid: F.try_parse_json(xml_json(text)),
+    lambda text, payload, ccsid: variant_of_json(xml_json(text)),
     "XML parse error: document is not well-formed",
+    lambda text: xml_json(text).isNotNull(),
 )
 TEXT = Parser(
     "TEXT",
     formats.can_parse_text,
-    lambda text, payload, ccsid: decode_payload(payload, ccsid).cast("variant"),
-    "Text parse error",
+    lambda text, payload, ccsid: _text_variant(decode_payload(payload, ccsid)),
+    f"Text parse error: text of more than {VARIANT_BYTES} bytes does not fit a VARIANT, see originalPayload",
 )
 
 # Parsers of the default composite, in order of preference.
@@ -75,21 +90,33 @@ def parse_payloads(
         tried = (F.col(f"_try_{p.name}") | F.col("_nobody")) & ~done
         text, payload = F.when(tried, F.col("_text")), F.when(tried, F.col("payload"))
         df = df.withColumn(f"_value_{p.name}", F.when(tried, p.read(text, payload, F.col("ccsid"))))
-        done = done | F.col(f"_value_{p.name}").isNotNull()
+        read = F.col(f"_value_{p.name}").isNotNull()
+        if p.beyond is not None:
+            unread = F.when(tried & ~read, F.col("_text"))
+            df = df.withColumn(f"_beyond_{p.name}", F.coalesce(p.beyond(unread), F.lit(False)))
+            read = read | F.col(f"_beyond_{p.name}")
+        done = done | read
 
     winner = F.coalesce(*[F.when(F.col(f"_value_{n}").isNotNull(), n) for n in names])
-    loser = F.coalesce(*[F.when(F.col(f"_try_{n}") | F.col("_nobody"), n) for n in reversed(names)], F.lit("UNKNOWN"))
+    beyond = [F.when(F.col(f"_beyond_{p.name}"), p.name) for p in parsers if p.beyond is not None]
+    loser = F.coalesce(*beyond, *[F.when(F.col(f"_try_{n}") | F.col("_nobody"), n) for n in reversed(names)], F.lit("UNKNOWN"))
     error = reduce(lambda case, p: case.when(loser == p.name, p.error), parsers, F.when(F.lit(False), ""))
+    too_much = reduce(
+        lambda case, p: case.when(F.col(f"_beyond_{p.name}"), f"{p.name} parse error: more than {MOST_LEVELS} levels"),
+        [p for p in parsers if p.beyond is not None],
+        F.when(F.lit(False), ""),
+    )
     failed = winner.isNull()
     result = F.struct(
         F.coalesce(winner, loser).alias("format"),
         winner.isNotNull().alias("isSuccess"),
         F.coalesce(*[F.col(f"_value_{n}") for n in names]).alias("data"),
-        F.when(failed, error.otherwise("No parser could handle the message")).alias("error"),
+        F.when(failed, F.coalesce(too_much, error.otherwise("No parser could handle the message"))).alias("error"),
         F.when(failed, F.col("_text")).alias("originalPayload"),
         F.octet_length("payload").alias("originalSize"),
     )
     helpers = ["_text", "_nobody", *[f"_try_{n}" for n in names], *[f"_value_{n}" for n in names]]
+    helpers += [f"_beyond_{p.name}" for p in parsers if p.beyond is not None]
     return df.withColumn("parsed", result).drop(*helpers)
 
 

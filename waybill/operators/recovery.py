@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from waybill.functions.failures import classify
 from waybill.functions.headers import hex_id
 from waybill.functions.retry import RetryPolicy
+from waybill.operators.delivery import CONSUMER
 from waybill.operators.ordered import first_per_key
 
 # Quarantine actions and their descriptions.
@@ -83,14 +84,18 @@ def route(
     return messages.withColumn("targetQueue", target)
 
 
-def write_routed(routed: DataFrame, path: str) -> None:
-    """Write every kept message under its target queue."""
+def write_routed(routed: DataFrame, path: str, batch_id: int, consumer: str = CONSUMER) -> None:
+    """Write every kept message of a batch under its consumer, batch and target queue.
+
+    Writing a batch again replaces it alone, so this can be the handler of a stream (``foreachBatch``).
+    """
     (
         routed.filter(F.col("targetQueue").isNotNull())
+        .withColumns({"consumer": F.lit(consumer), "batchId": F.lit(batch_id).cast("bigint")})
         .hint("rebalance", "targetQueue")  # well-sized files; a hot target is split over many tasks
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("targetQueue")
+        .partitionBy("consumer", "batchId", "targetQueue")
         .parquet(path)
     )
 

@@ -337,14 +337,14 @@ def payload_decision(spark, folder):
     sha256(body) AS digest FROM d""",
 )
 def offload_large(spark, folder):
-    """Write the large documents out, then read them back beside the ones kept in place."""
+    """Write the large documents out in two batches, one of them replayed, and restore them in the slim rows."""
     path = shared_dir(spark, "offload")
     planned = offload.plan_offload(views.documents(spark, folder), PROFILE, path)
-    offload.write_offloaded(planned, path)
-    columns = "messageIdHex", "queueName", "payload"
-    local = offload.slim(planned).filter(F.col("payloadRef").isNull()).select(*columns, F.lit("LOCAL").alias("storage"))
-    stored = spark.read.schema("messageIdHex string, payloadRef string, payload binary, queueName string").parquet(path)
-    both = local.unionByName(stored.select(*columns, F.lit("EXTERNAL").alias("storage")))
+    half = F.pmod(F.crc32("messageIdHex"), F.lit(2))
+    for batch_id in (0, 1, 1):
+        offload.write_offloaded(planned.filter(half == batch_id), path, batch_id)
+    storage = F.when(F.col("payloadRef").isNull(), "LOCAL").otherwise("EXTERNAL").alias("storage")
+    both = offload.restore(offload.slim(planned), offload.read_offloaded(spark, path)).select("*", storage)
     return both.select(
         "messageIdHex",
         "queueName",

@@ -64,13 +64,14 @@ def multi_queue_claim(spark, folder):
   FROM unread WHERE rn <= 1000""",
 )
 def commit_batch(spark, folder):
-    """Claim, commit, and commit the same batch once more as a replay would."""
+    """Claim, commit, and commit the same batch once more as a replay would; another consumer has a batch 7 too."""
     e = views.events(spark, folder)
     batch = claim.claim_batch(e, views.delivery_log(e), views.QUEUES)
     path = shared_dir(spark, "delivery-log")
     for _ in range(2):
         delivery.append_log(delivery.settle(batch, 7, "COMMIT", F.col("receivedAt")), path)
-    written = delivery.read_log(spark, path)
+    delivery.append_log(delivery.settle(batch, 7, "COMMIT", F.col("receivedAt"), consumer="other"), path)
+    written = delivery.read_log(spark, path).filter(F.col("consumer") == delivery.CONSUMER)
     return views.flat(written, "batchId", "queueName", "messageIdHex", "attempt", "outcome")
 
 

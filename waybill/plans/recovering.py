@@ -121,7 +121,7 @@ def quarantine_decision(spark, folder):
 
 
 _ACTIONS = ["MoveToDeadLetter", "MoveToBackout", "Discard", "REVIEW.QUEUE"]
-_ROUTED = views.E + """, routed AS (SELECT id, q, size, CASE WHEN backout < 4 THEN q
+_ROUTED = views.E + """, routed AS (SELECT id, q, size, body, CASE WHEN backout < 4 THEN q
     ELSE CASE event_id % 4 WHEN 0 THEN 'DEAD.LETTER' WHEN 1 THEN 'BACKOUT' WHEN 3 THEN 'REVIEW.QUEUE' END END AS target
   FROM e)"""
 
@@ -134,14 +134,18 @@ def routed(spark, folder):
 @query(
     "route_messages",
     _ROUTED
-    + """SELECT id AS "messageIdHex", q AS "queueName", target AS "targetQueue" FROM routed WHERE target IS NOT NULL""",
+    + """SELECT id AS "messageIdHex", q AS "queueName", target AS "targetQueue", body AS "payloadString"
+  FROM routed WHERE target IS NOT NULL""",
 )
 def route_messages(spark, folder):
-    """Route every message, write it under its target, and read the targets back."""
+    """Route every message in two batches, one of them replayed, and read the targets back with payloads."""
     path = shared_dir(spark, "routed")
-    recovery.write_routed(routed(spark, folder), path)
-    written = spark.read.schema("messageIdHex string, queueName string, targetQueue string").parquet(path)
-    return written.select("messageIdHex", "queueName", "targetQueue")
+    everything = routed(spark, folder)
+    for batch_id in (0, 1, 1):
+        recovery.write_routed(everything.filter(F.col("event_id") % 2 == batch_id), path, batch_id)
+    columns = "messageIdHex", "queueName", "targetQueue", "payload"
+    written = spark.read.schema(", ".join(f"{c} {'binary' if c == 'payload' else 'string'}" for c in columns)).parquet(path)
+    return written.select(*columns[:3], F.col("payload").cast("string").alias("payloadString"))
 
 
 @query(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -45,6 +46,7 @@ def build_session(app: str = "waybill", cores: str = "*", memory: str = "8g") ->
         .appName(app)
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="waybill-"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -56,11 +58,11 @@ def build_session(app: str = "waybill", cores: str = "*", memory: str = "8g") ->
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder all executors can reach, below ``spark.checkpoint.dir``.
 
-    Only a local session without that setting falls back to a temporary folder.
+    Only where driver and executors are one process (local, local[n]) is a temporary folder set in its place.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\[\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="waybill-")
     return f"{base.rstrip('/')}/waybill/{purpose}-{uuid.uuid4().hex}"

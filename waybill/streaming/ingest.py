@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -45,6 +47,7 @@ def commit_each_batch(
     checkpoint: str,
     saves_path: str | None = None,
     queue_manager: str = "",
+    consumer: str | None = None,
 ) -> StreamingQuery:
     """Hand each micro-batch to ``handle`` and log its messages as committed, or, if it raises, as
     rolled back before the query fails.
@@ -53,16 +56,26 @@ def commit_each_batch(
     wrote for that id; the log does so itself. Rollbacks of earlier tries of the batch are read back,
     so each try is logged as its own attempt. With ``saves_path`` every committed batch also saves its
     checkpoints (see ``operators.checkpoints``), after the commit.
+
+    Streams may share a log and a save folder: what a stream writes stands under ``consumer``, by default a name
+    made of its checkpoint folder, which no two streams share. The micro-batch is computed once.
     """
     delivery.init_log(messages.sparkSession, log_path)
+    consumer = consumer or f"stream-{hashlib.sha256(checkpoint.encode()).hexdigest()[:16]}"
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        log = delivery.read_log(batch.sparkSession, log_path).filter(F.col("batchId") == batch_id)
-        batch_try = delivery.next_try(log, batch_id)
-        tried = delivery.with_redelivery_count(batch, log)
+        log = delivery.read_log(batch.sparkSession, log_path)
+        log = log.filter((F.col("batchId") == batch_id) & (F.col("consumer") == consumer))
+        batch_try = delivery.next_try(log, batch_id, consumer)
+        tried = delivery.with_redelivery_count(batch, log).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            settle_batch(tried, batch_id, batch_try)
+        finally:
+            tried.unpersist()
 
+    def settle_batch(tried: DataFrame, batch_id: int, batch_try: int) -> None:
         def settle(outcome: str) -> None:
-            rows = delivery.settle(tried, batch_id, outcome, F.current_timestamp(), batch_try)
+            rows = delivery.settle(tried, batch_id, outcome, F.current_timestamp(), batch_try, consumer)
             delivery.append_log(rows, log_path)
 
         try:
@@ -76,7 +89,7 @@ def commit_each_batch(
             now = F.unix_millis(F.current_timestamp())
             saves = checkpoints.build_checkpoints(placed, queue_manager, now)
             saves = saves.withColumns({"seq": F.lit(batch_id).cast("bigint"), "deleted": F.lit(False)})
-            saves.write.mode("overwrite").parquet(f"{saves_path}/batch={batch_id}")
+            saves.write.mode("overwrite").parquet(f"{saves_path}/consumer={consumer}/batch={batch_id}")
 
     return (
         messages.writeStream.foreachBatch(on_batch)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -10,7 +11,7 @@ from waybill.functions.headers import stored_size
 from waybill.operators.throttle import SECOND, bucket_windows, open_windows, throttle
 from waybill.session import materialize
 
-_CARRY = "queueName string, windowStart bigint, used bigint, batch bigint"
+_CARRY = "queueName string, windowStart bigint, used bigint"
 
 
 def throttle_stream(
@@ -23,13 +24,21 @@ def throttle_stream(
     batch the buckets are worked out as in the batch operator; no task holds a whole queue. Files must
     land in time order.
     """
-    spark = messages.sparkSession
     state_path = f"{path}/state"
-    spark.createDataFrame([], _CARRY).write.mode("ignore").partitionBy("batch").parquet(state_path)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        states = batch.sparkSession.read.schema(_CARRY).parquet(state_path)
-        previous = states.filter(F.col("batch") == batch_id - 1).drop("batch")
+        kept = batch.persist(StorageLevel.MEMORY_AND_DISK)  # read by the buckets and by the grants
+        try:
+            grant(kept, batch_id)
+        finally:
+            kept.unpersist()
+
+    def grant(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        if batch_id:
+            previous = session.read.schema(_CARRY).parquet(f"{state_path}/batch={batch_id - 1}")
+        else:
+            previous = session.createDataFrame([], _CARRY)
         buckets = materialize(bucket_windows(batch, limits, window_ms, carry=previous), "buckets")
         granted = throttle(batch, limits, window_ms, buckets=buckets)
         granted.write.mode("overwrite").parquet(f"{path}/granted/batch={batch_id}")
