@@ -25,7 +25,7 @@ def state_timeline(commands: DataFrame) -> DataFrame:
         F.min(F.when(command == "GRACEFUL_STOP", here)).alias("_graceful"),
         F.min(F.when(command.isin("REQUEST_STOP", "GRACEFUL_STOP"), here)).alias("_asked"),
     )
-    completions = timed.filter(command == "COMPLETE_DRAIN")
+    completions = timed.filter(command == "COMPLETE_DRAIN").select("connectorId", "_ms", "seq")
     completed = (
         salted_join(completions, begins.select("connectorId", "_drain"), ["connectorId"])
         .filter(here > F.col("_drain"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.operators.claim import KEY
+from waybill.operators.claim import BROADCAST_ROWS, KEY
 
 LOG_SCHEMA = (
     "queueName string, messageIdHex string, attempt int, ts timestamp, outcome string, consumer string, batchId bigint, "
@@ -69,8 +69,11 @@ def with_redelivery_count(messages: DataFrame, log: DataFrame) -> DataFrame:
     """``backoutCount`` raised by the rollbacks logged for the message.
 
     The log is counted per message before the join, so repeated rollbacks of one message travel as
-    one row.
+    one row. While they are few (they are counted first), only their ids are sent to the messages and no
+    payload is shuffled; beyond that both sides are.
     """
     rollbacks = log.filter(F.col("outcome") == "ROLLBACK").groupBy(*KEY).agg(F.count("*").alias("_rollbacks"))
+    if rollbacks.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        rollbacks = F.broadcast(rollbacks)
     count = F.col("backoutCount") + F.coalesce(F.col("_rollbacks"), F.lit(0))
     return messages.join(rollbacks, KEY, "left").withColumn("backoutCount", count.cast("int")).drop("_rollbacks")

@@ -22,11 +22,12 @@ from waybill.sources.envelopes import table
     q AS "queueName", 1208::BIGINT AS ccsid, 546::BIGINT AS encoding, 4::BIGINT AS priority, (-1)::BIGINT AS expiry, 0::BIGINT AS "backoutCount",
     NULL::VARCHAR AS "replyToQueue", NULL::VARCHAR AS "replyToQueueManager", 'MQSTR' AS format, 0::BIGINT AS persistence,
     8::BIGINT AS "messageType", NULL::VARCHAR AS "userId", NULL::VARCHAR AS "applicationName", 0::BIGINT AS "putApplicationType",
-    CASE WHEN conv_id > 0 THEN grp END AS "groupIdHex", turn + 1 AS "messageSequenceNumber" FROM c""",
+    CASE WHEN conv_id > 0 THEN grp END AS "groupIdHex", turn + 1 AS "messageSequenceNumber",
+    lower(hex(encode(body))) AS "payloadHex" FROM c""",
 )
 def canonical_projection(spark, folder):
     rows = schema.project(views.conversations(spark, folder))
-    return views.flat(rows.drop("payload"))
+    return views.flat(rows)
 
 
 @query(

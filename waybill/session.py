@@ -18,8 +18,8 @@ RUNTIME_CONF = {
     "spark.sql.legacy.codingErrorAction": "true",
     # A repeated JSON key keeps its last value.
     "spark.sql.variant.allowDuplicateKeys": "true",
-    # Batch sizes go up to 100000; keep the per-task top-n pruning for all of them.
-    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
+    # Keep the per-task top-n pruning for every batch size and limit.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "2147483647",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
