@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waybill.functions.headers import latency_ms, stored_size
@@ -152,8 +152,8 @@ def sent_counts(routed: DataFrame) -> DataFrame:
     )
 
 
-def queue_health(metrics: DataFrame, degraded_share: float = 0.1) -> DataFrame:
-    """Health (label, status, isHealthy, message, details) from the counters.
+def queue_health(metrics: DataFrame, degraded_share: float = 0.1, at: Column | None = None) -> DataFrame:
+    """Health (label, status, isHealthy, message, details, timestamp) from the counters, as of ``at`` (else now).
 
     UNKNOWN: nothing received. DOWN: nothing committed. DEGRADED: rollbacks and parse failures above
     ``degraded_share`` of the messages. UP otherwise; only UP is healthy.
@@ -177,4 +177,5 @@ def queue_health(metrics: DataFrame, degraded_share: float = 0.1) -> DataFrame:
         (status == "UP").alias("isHealthy"),
         text.alias("message"),
         details.alias("details"),
+        (F.current_timestamp() if at is None else at).alias("timestamp"),
     )

@@ -141,10 +141,11 @@ def sent_counts(spark, folder):
   SELECT label, status, status = 'UP' AS "isHealthy",
     r || ' received, ' || c || ' committed, ' || f || ' failed' AS message,
     '{"messagesReceived":"' || r || '","messagesCommitted":"' || c || '","messagesRolledBack":"' || b ||
-    '","parseFailure":"' || p || '"}' AS details FROM h""",
+    '","parseFailure":"' || p || '"}' AS details, 1700000000000::BIGINT AS "timestampMs" FROM h""",
 )
 def queue_health(spark, folder):
-    return metrics.queue_health(_metrics(spark, folder)).withColumn("details", F.to_json("details"))
+    health = metrics.queue_health(_metrics(spark, folder), at=F.timestamp_millis(F.lit(1_700_000_000_000)))
+    return views.flat(health.withColumn("details", F.to_json("details")))
 
 
 # Audit: `a` has one row per event, details as one JSON text.
