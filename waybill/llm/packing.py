@@ -34,7 +34,9 @@ SEQUENCE_BITS = 40
 class WordIds:
     """Token ids of texts by the tokenizers library, which sees every distinct word of a task once.
 
-    The tokenizer drops white space and splits at it, so a text's ids are those of its words in a row.
+    The tokenizer lowers case, drops white space and splits at it and between letters and marks, so a text's ids are
+    those of its words in a row. New words of letters go to the library as one text, in which every word ends with
+    a token that ends a word.
     """
 
     def __init__(self, path: str, end: int):
@@ -44,20 +46,57 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[at for token, at in vocabulary.items() if token.endswith("</w>")]] = True
         self.end = np.uint32(end).tobytes()
         self.known: dict[bytes, bytes] = {}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The ids of each text and the end id, as little-endian unsigned 32-bit numbers."""
-        split = [text.encode().split() for text in texts]
+        split = [self.words(text.encode()) for text in texts]
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
-        new = list(set().union(*split).difference(self.known))
-        coded = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        for word, found in zip(new, coded, strict=True):
-            self.known[word] = np.array(found.ids, np.uint32).tobytes()
+        self.learn(set().union(*split).difference(self.known))
         return [b"".join(map(self.known.__getitem__, words)) + self.end for words in split]
 
+    @staticmethod
+    def words(text: bytes) -> list[bytes]:
+        # Added tokens (<|..|>) are told apart by case.
+        return (text if b"<|" in text else text.lower()).split()
+
+    def learn(self, new: set[bytes]) -> None:
+        known, joined, letters, others = self.known, {}, set(), set()
+        for word in new:
+            text = word.decode().lower()
+            if text.isalpha():
+                letters.add(word)
+            elif text[-1] in ".,;:!?" and text[:-1].isalpha():
+                joined[word] = word[:-1], word[-1:]
+            else:
+                others.add(word)
+        for body, mark in joined.values():
+            if body not in known:
+                letters.add(body)
+            if mark not in known:
+                others.add(mark)
+        batch = list(letters)
+        parts = [batch[begin : begin + 2000] for begin in range(0, len(batch), 2000)]
+        coded = self.tokenizer.encode_batch_fast([b" ".join(part).decode() for part in parts], add_special_tokens=False)
+        for part, found in zip(parts, coded, strict=True):
+            ids = np.array(found.ids, np.uint32)
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) != len(part):  # a letter whose lower case has marks is more than one word to the tokenizer
+                others.update(part)
+                continue
+            flat, cuts = ids.tobytes(), (4 * cuts).tolist()
+            known.update(zip(part, [flat[a:b] for a, b in zip([0, *cuts], cuts)], strict=True))
+        alone = list(others)
+        for word, found in zip(alone, self.tokenizer.encode_batch_fast([w.decode() for w in alone], add_special_tokens=False), strict=True):
+            known[word] = np.array(found.ids, np.uint32).tobytes()
+        for word, (body, mark) in joined.items():
+            known[word] = known[body] + known[mark]
+
 
 def projection(features: int = FEATURES, dimensions: int = DIMENSIONS) -> np.ndarray:
     """The fixed random matrix."""
