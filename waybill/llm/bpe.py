@@ -188,8 +188,10 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
         for batch in batches:
             codec = codec or Codec(place)
             ids = batch.column(1)
-            texts = pa.array([None if x.as_py() is None else codec.decode(x.as_py()) for x in ids], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids, texts], names=["doc_id", "ids", "text"])
+            ends, flat = ids.offsets.to_numpy().tolist(), ids.values.to_numpy()
+            texts = [codec.decode(flat[a:b].tolist()) for a, b in zip(ends, ends[1:], strict=False)]
+            column = pa.array(texts, pa.string(), mask=ids.is_null().to_numpy(zero_copy_only=False))
+            yield pa.RecordBatch.from_arrays([batch.column(0), ids, column], names=["doc_id", "ids", "text"])
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids array<int>, text string")
