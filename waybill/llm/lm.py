@@ -26,14 +26,14 @@ from waybill.llm.common import keyed_text
 from waybill.session import materialize
 
 #: Classes of single tokens (the end is the first) and classes by word ending.
-SINGLE, ENDINGS = 384, 128
+SINGLE, ENDINGS = 192, 64
 CLASSES = SINGLE + ENDINGS
 #: Classes before the predicted one, and dimensions.
 CONTEXT, SIZE = 4, 24
 #: Commonest words whose counts every task knows: a few MB at any size of the corpus.
 HEAD = 200_000
 #: Training: noise classes for each batch, positions of a batch, one of how many positions, passes, step.
-NOISE, BATCH, STRIDE, ROUNDS, STEP = 128, 1024, 4, 2, 0.15
+NOISE, BATCH, STRIDE, ROUNDS, STEP = 64, 512, 4, 2, 0.2
 #: Words counted in a task before they are sent on, and entries of the class cache.
 COUNTED, CACHE = 400_000, 400_000
 END = b""
@@ -166,6 +166,14 @@ class Bilinear:
         return own - np.log(scores.sum(axis=1))
 
 
+def add_rows(out: np.ndarray, index: np.ndarray, rows: np.ndarray) -> None:
+    """``out[index] += rows``, with repeated places summed up."""
+    order = np.argsort(index, kind="stable")
+    places = index[order]
+    starts = np.flatnonzero(np.append(True, places[1:] != places[:-1]))
+    out[places[starts]] += np.add.reduceat(rows[order], starts, axis=0)
+
+
 class Trainer:
     """Noise-contrastive estimation with one set of noise classes for each batch, and adaptive steps."""
 
@@ -189,13 +197,12 @@ class Trainer:
         hit = -1 / (1 + np.exp(-np.clip(false, -20, 20))) / n
         gradient = np.zeros_like(m.flat)
         g = Bilinear(gradient)
-        np.add.at(g.targets, target, miss[:, None] * q)
-        np.add.at(g.targets, noise, hit.T @ q)
-        np.add.at(g.bias, target, miss)
-        np.add.at(g.bias, noise, hit.sum(axis=0))
+        add_rows(g.targets, target, miss[:, None] * q)
+        add_rows(g.targets, noise, hit.T @ q)
+        g.bias += np.bincount(target, miss, CLASSES) + np.bincount(noise, hit.sum(axis=0), CLASSES)
         dq = miss[:, None] * vectors + hit @ drawn
         for k in range(CONTEXT):
-            np.add.at(g.words, context[:, k], dq * m.place[k])
+            add_rows(g.words, context[:, k], dq * m.place[k])
             g.place[k] = (dq * parts[k]).sum(axis=0)
         gradient *= n / 64
         self.squares += gradient * gradient
