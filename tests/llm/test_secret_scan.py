@@ -61,6 +61,19 @@ def test_exact_places_in_escapes():
     assert [(s.kind, text[s.start : s.end]) for s in scan.scan(text)[0]] == [("assign", "password%3Dabcdef12"), ("access", "&#x41;KIATCGM6RMXLBNV4Q6V")]
 
 
+@pytest.mark.parametrize("pack", [b64, lambda x: b64(zlib.compress(x.encode())), lambda x: "".join(f"%{b:02X}" for b in x.encode())])
+def test_equal_layers_count_in_every_place(pack):
+    token = pack(SECRET)
+    text = f"one {token}\ntwo {token} three {b64('a ' + token + ' b')} four {b64('c ' + token + ' d')} end"
+    spans, cut = scan.scan(text)
+    assert not cut
+    for begin, end in [(m.start(), m.end()) for m in re.finditer(r"\S{30,}", text)]:
+        assert any(s.kind == "assign" and begin <= s.start < s.end <= end for s in spans)
+    masked = scan.masked(text)
+    assert masked.count("[SECRET]") == 4
+    assert not any(s.kind in ("assign", "hex") for s in scan.scan(masked)[0])
+
+
 def test_ends_where_data_repeats_or_grows():
     assert scan.scan("%2525252525252525 " + b64("x" * 40))[1] is False
     bomb = b64(gzip.compress(b"a b " * 1_000_000))

@@ -1,8 +1,9 @@
 """Secrets in texts, also inside nested encodings.
 
 A worklist unwraps layers: percent escapes and Unicode escapes of a whole layer, base64 runs, and compressed
-data (gzip, zlib, zstandard) behind them. Every new layer is scanned with the same patterns and put on the
-list again; a layer whose content was there before is not. Spans are mapped back to the original text.
+data (gzip, zlib, zstandard) behind them. Every new layer is scanned with the same patterns and unwrapped in turn.
+A content that lies in several places is unwrapped once, and its spans are mapped up from each of them; only a
+layer that repeats one around it is left alone. Spans are mapped back to the original text.
 """
 
 from __future__ import annotations
@@ -180,33 +181,65 @@ def _layers(text: str, most: int) -> Iterator[tuple[str, Up, str]]:
                 yield new, up, name
 
 
+class _Layer:
+    """A layer whose inner layers are being unwrapped; ``found`` has the spans of it and of all below, as they lie in it."""
+
+    __slots__ = ("digest", "up", "name", "inner", "found", "lowest")
+
+    def __init__(self, text: str, most: int, digest: bytes, up: Up | None, name: str, height: int):
+        self.digest, self.up, self.name = digest, up, name
+        self.inner = _layers(text, most)
+        self.found = {(k, a, b): Span(k, a, b, 0, "") for k, a, b in matches(text)}
+        #: Height of the lowest ancestor that lies in this layer again; what is found then depends on the way here.
+        self.lowest = height
+
+    def lift(self, found: dict[tuple[str, int, int], Span], up: Up, name: str) -> None:
+        """Add the spans of a layer that lies in this one; of equal spans the one in fewer layers stays."""
+        for s in found.values():
+            if place := up(s.start, s.end):
+                key = (s.kind, *place)
+                if key not in self.found or self.found[key].depth > s.depth + 1:
+                    self.found[key] = Span(*key, s.depth + 1, f"{name}/{s.path}".strip("/"))
+
+
+def _digest(text: str) -> bytes:
+    return hashlib.sha1(text.encode("utf-8", "surrogatepass")).digest()
+
+
 def scan(text: str, most: int = DECODED_CHARS) -> tuple[list[Span], bool]:
-    """All spans, sorted by start, kind and end, those of the text itself at depth 0; whether ``most`` was reached."""
-    found = {(k, a, b): Span(k, a, b, 0, "") for k, a, b in matches(text)}
-    work: list[tuple[str, list[Up], str]] = [(text, [], "")]
-    seen: set[bytes] = set()
+    """All spans, sorted by start, kind and end, those of the text itself at depth 0; whether ``most`` was reached.
+
+    A content is unwrapped once; its spans are mapped up from every place where it lies. Only a layer that repeats
+    an ancestor is left alone.
+    """
+    root = _Layer(text, most, _digest(text), None, "", 0)
+    open_layers, heights = [root], {root.digest: 0}
+    known: dict[bytes, dict[tuple[str, int, int], Span]] = {}
     left = most
-    while work:
-        layer, ups, path = work.pop()
-        for new, up, name in _layers(layer, left):
-            left -= len(new)
-            digest = hashlib.sha1(new.encode("utf-8", "surrogatepass")).digest()
-            if digest in seen:
-                continue
-            seen.add(digest)
-            chain, way = [up, *ups], f"{path}/{name}".strip("/")
-            for kind, start, end in matches(new):
-                place: tuple[int, int] | None = (start, end)
-                for step in chain:
-                    place = step(*place)
-                    if place is None:
-                        break
-                if place:
-                    found.setdefault((kind, *place), Span(kind, *place, len(chain), way))
-            if left <= 0:
-                return sorted_spans(found), True
-            work.append((new, chain, way))
-    return sorted_spans(found), False
+    while True:
+        layer = open_layers[-1]
+        found = None if left <= 0 else next(layer.inner, None)
+        if found is None:
+            open_layers.pop()
+            if not open_layers:
+                return sorted_spans(root.found), left <= 0
+            height = heights.pop(layer.digest)
+            if layer.lowest >= height:
+                known[layer.digest] = layer.found
+            else:
+                open_layers[-1].lowest = min(open_layers[-1].lowest, layer.lowest)
+            open_layers[-1].lift(layer.found, layer.up, layer.name)
+            continue
+        new, up, name = found
+        left -= len(new)
+        digest = _digest(new)
+        if digest in known:
+            layer.lift(known[digest], up, name)
+        elif digest in heights:
+            layer.lowest = min(layer.lowest, heights[digest])
+        else:
+            heights[digest] = len(open_layers)
+            open_layers.append(_Layer(new, left, digest, up, name, len(open_layers)))
 
 
 def sorted_spans(found: dict[tuple[str, int, int], Span]) -> list[Span]:
