@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from waybill.llm import bpe, fingerprints, html_extract, lm, near_dups, outliers, packing, secret_scan, sharding, toxicity
 from waybill.llm.common import table
 from waybill.llm.registry import query
+from waybill.session import shared_dir
 
 
 def learned_toxicity(spark: SparkSession, folder: str) -> toxicity.Model:
@@ -82,7 +84,19 @@ def op8_bottom_k(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op6_external_shuffle")
 def op6_external_shuffle(spark: SparkSession, folder: str) -> DataFrame:
-    return sharding.assign(table(spark, folder, "documents"), shards=8, law="rows")
+    docs, path = table(spark, folder, "documents"), shared_dir(spark, "shards")
+    sharding.write_shards(docs, sharding.assign(docs, shards=8, law="rows"), path)
+    text = F.coalesce("text", F.lit(""))
+    schema = StructType([*docs.schema.fields, StructField("shard", IntegerType()), StructField("slot", LongType())])
+    return spark.read.schema(schema).parquet(path).select(
+        "doc_id",
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
 
 
 @query("op9_nested_secrets")
