@@ -61,3 +61,21 @@ def test_training_learns_what_follows():
         trainer.step(context, (before + 1) % 20)
     logs = trainer.model.log_probabilities(context, (before + 1) % 20)
     assert logs.mean() > math.log(0.3)
+
+
+def test_every_position_is_trained_on(make):
+    docs = make([(1, "", "en", "s", 0), (2, "one", "en", "s", 3), (3, "one two", "en", "s", 7), (4, "word " * 5000, "en", "s", 25_000)])
+    taken = docs.sparkSession.sparkContext.accumulator(0)
+
+    class Counted(lm.Trainer):
+        def step(self, context, target):
+            taken.add(len(target))
+            super().step(context, target)
+
+    vocab = lm.vocabulary(lm.count_words(docs))
+    before, lm.Trainer = lm.Trainer, Counted
+    try:
+        lm.train(docs, vocab, rounds=1)
+    finally:
+        lm.Trainer = before
+    assert taken.value == 1 + 2 + 3 + 5001

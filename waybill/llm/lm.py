@@ -26,14 +26,14 @@ from waybill.llm.common import keyed_text
 from waybill.session import materialize
 
 #: Classes of single tokens (the end is the first) and classes by word ending.
-SINGLE, ENDINGS = 192, 64
+SINGLE, ENDINGS = 384, 128
 CLASSES = SINGLE + ENDINGS
 #: Classes before the predicted one, and dimensions.
 CONTEXT, SIZE = 4, 24
 #: Commonest words whose counts every task knows: a few MB at any size of the corpus.
 HEAD = 200_000
-#: Training: noise classes for each batch, positions of a batch, one of how many positions, passes, step.
-NOISE, BATCH, STRIDE, ROUNDS, STEP = 64, 512, 4, 2, 0.2
+#: Training: noise classes for each batch, positions of a batch, passes over all positions, step.
+NOISE, BATCH, ROUNDS, STEP = 128, 1024, 1, 0.15
 #: Words counted in a task before they are sent on, and entries of the class cache.
 COUNTED, CACHE = 400_000, 400_000
 END = b""
@@ -168,6 +168,7 @@ class Bilinear:
 
 def add_rows(out: np.ndarray, index: np.ndarray, rows: np.ndarray) -> None:
     """``out[index] += rows``, with repeated places summed up."""
+    index = index.astype(np.int16)  # numpy sorts short integers by radix
     order = np.argsort(index, kind="stable")
     places = index[order]
     starts = np.flatnonzero(np.append(True, places[1:] != places[:-1]))
@@ -192,25 +193,30 @@ class Trainer:
         vectors, drawn = m.targets[target], m.targets[noise]
         shift = math.log(NOISE)
         real = np.einsum("ij,ij->i", q, vectors) + m.bias[target] - self.log_noise[target] - shift
-        false = q @ drawn.T + (m.bias[noise] - self.log_noise[noise] - shift)
+        false = q @ drawn.T
+        false += m.bias[noise] - self.log_noise[noise] - shift
         miss = (1 - 1 / (1 + np.exp(-np.clip(real, -20, 20)))) / n
-        hit = -1 / (1 + np.exp(-np.clip(false, -20, 20))) / n
+        hit = np.clip(false, -20, 20, out=false)
+        np.negative(hit, out=hit)
+        np.exp(hit, out=hit)
+        hit += 1
+        np.divide(-1 / n, hit, out=hit)
         gradient = np.zeros_like(m.flat)
         g = Bilinear(gradient)
         add_rows(g.targets, target, miss[:, None] * q)
         add_rows(g.targets, noise, hit.T @ q)
         g.bias += np.bincount(target, miss, CLASSES) + np.bincount(noise, hit.sum(axis=0), CLASSES)
         dq = miss[:, None] * vectors + hit @ drawn
+        add_rows(g.words, context.T.ravel(), np.concatenate([dq * m.place[k] for k in range(CONTEXT)]))
         for k in range(CONTEXT):
-            add_rows(g.words, context[:, k], dq * m.place[k])
-            g.place[k] = (dq * parts[k]).sum(axis=0)
+            g.place[k] = np.einsum("ij,ij->j", dq, parts[k])
         gradient *= n / 64
         self.squares += gradient * gradient
         m.flat += STEP * gradient / np.sqrt(self.squares)
 
 
-def train(training: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS, stride: int = STRIDE) -> np.ndarray:
-    """Parameters after ``rounds`` passes: each task trains on one of ``stride`` positions of its texts, then all average.
+def train(training: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> np.ndarray:
+    """Parameters after ``rounds`` passes: each task trains on every position of its texts, then all average.
 
     A task sends its parameters (100 kB) weighted by its positions; they are averaged in about the square root of
     the shuffle partitions' number of tasks, and only those averages reach the driver.
@@ -225,9 +231,8 @@ def train(training: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS, stride:
             for whole in batches:
                 for text in whole.column(0):
                     classes = classer(words_of(text.as_py()))
-                    picked = np.arange((zlib.crc32(classes.tobytes()) + at) % stride, len(classes), stride)
-                    held.append((contexts(classes)[picked], classes[picked]))
-                    size += len(picked)
+                    held.append((contexts(classes), classes))
+                    size += len(classes)
                     if size >= 16 * BATCH:
                         seen += fed(trainer, held)
                         held, size = [], 0
@@ -333,7 +338,7 @@ def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "t
     )
 
 
-def log_sums(model: Bilinear, classes: list[np.ndarray], batch: int = 4096) -> list[float]:
+def log_sums(model: Bilinear, classes: list[np.ndarray], batch: int = 1024) -> list[float]:
     """Log10 probability of each class sequence."""
     target = np.concatenate(classes)
     context = np.concatenate([contexts(c) for c in classes])
