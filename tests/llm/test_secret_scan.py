@@ -74,6 +74,50 @@ def test_equal_layers_count_in_every_place(pack):
     assert not any(s.kind in ("assign", "hex") for s in scan.scan(masked)[0])
 
 
+LONG = "".join(f"{k * 7919 % 10007} words of line {k} " for k in range(60))
+
+
+def zstd(x):
+    import zstandard
+
+    return zstandard.ZstdCompressor().compress(x.encode())
+
+
+def lines(x, width):
+    return "\n".join(x[i : i + width] for i in range(0, len(x), width))
+
+
+@pytest.mark.parametrize(
+    "wrapped",
+    [
+        base64.urlsafe_b64encode(zlib.compress(("ÿþ~?>" * 3 + LONG + SECRET).encode())).decode(),
+        base64.urlsafe_b64encode(("a?>ÿ" * 9 + SECRET).encode()).decode(),
+        lines(b64(gzip.compress((LONG + SECRET).encode())), 76),
+        lines(b64(LONG + SECRET), 64),
+        lines(b64(zstd(LONG + SECRET)), 64).replace("\n", "\r\n"),
+        "/files/" + b64(SECRET),
+        "/files/" + b64(zlib.compress(SECRET.encode())),
+        "x-" + b64(SECRET).rstrip("="),
+        "word" * 5 + "s" + b64(SECRET),
+        b64(gzip.compress(b"first ") + gzip.compress(SECRET.encode())),
+        b64(zstd("first ") + zstd(SECRET)),
+    ],
+)
+def test_base64_in_all_its_forms(wrapped):
+    text = f"before {wrapped} and after"
+    spans, cut = scan.scan(text)
+    assert not cut
+    assert any(s.kind == "assign" for s in spans) and all(7 <= s.start < s.end <= 7 + len(wrapped) for s in spans)
+    masked = scan.masked(text)
+    assert masked.endswith(" and after") and not any(s.kind == "assign" for s in scan.scan(masked)[0])
+
+
+@pytest.mark.parametrize("pack", [lambda x: gzip.compress(x.encode()), lambda x: zlib.compress(x.encode())])
+def test_broken_data_is_read_as_far_as_it_goes(pack):
+    spans, cut = scan.scan("x " + b64(pack(SECRET + " " + LONG)[:-40]) + " y")
+    assert cut and any(s.kind == "assign" for s in spans)
+
+
 def test_ends_where_data_repeats_or_grows():
     assert scan.scan("%2525252525252525 " + b64("x" * 40))[1] is False
     bomb = b64(gzip.compress(b"a b " * 1_000_000))

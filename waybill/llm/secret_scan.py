@@ -9,7 +9,6 @@ layer that repeats one around it is left alone. Spans are mapped back to the ori
 from __future__ import annotations
 
 import base64
-import binascii
 import hashlib
 import re
 import zlib
@@ -36,7 +35,16 @@ DECODED_CHARS = 64_000_000
 _MORE = "%[89ABab][0-9A-Fa-f]"
 _PERCENT = re.compile(rf"%[CDcd][0-9A-Fa-f]{_MORE}|%[Ee][0-9A-Fa-f](?:{_MORE}){{2}}|%[Ff][0-4](?:{_MORE}){{3}}|%[0-9A-Fa-f]{{2}}")
 _ESCAPE = re.compile(r"\\u[dD][89abAB][0-9A-Fa-f]{2}\\u[dD][c-fC-F][0-9A-Fa-f]{2}|\\u[0-9A-Fa-f]{4}|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#[xX][0-9A-Fa-f]{1,6};|&#[0-9]{1,7};")
-_BASE64 = re.compile(r"[A-Za-z0-9+/]{16,}={0,2}|[A-Za-z0-9_-]{16,}={0,2}")
+_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}+={0,2}")
+#: A run that goes on at the beginning of the next lines; all lines but the last end with it.
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:\r?\n[ \t]*[A-Za-z0-9+/_-]++)++={0,2}")
+_LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+#: Where compressed data may begin, and UTF-8 text as long as the shortest secret.
+_MAGIC = re.compile(rb"\x28\xb5\x2f\xfd|\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]")
+_STRETCH = re.compile(
+    rb"(?:[\t\n\r\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|\xed[\x80-\x9f][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}"
+    rb"|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}){12,}+"
+)
 _LONG = 16
 Up = Callable[[int, int], tuple[int, int] | None]
 
@@ -116,69 +124,153 @@ def _escape(run: str) -> str:
     return chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else "�"
 
 
-def _inflate(data: bytes, most: int) -> bytes | None:
-    """Decompressed bytes, at most so many; None if it isn't compressed."""
-    try:
-        if data[:4] == b"\x28\xb5\x2f\xfd":
+def _members(data: bytes, most: int, step: int) -> tuple[bytes, int, bool] | None:
+    """What the gzip members, zlib streams or zstandard frames at the begin of ``data`` hold, the bytes they take, and if the last is broken."""
+    out, at, broken = bytearray(), 0, False
+    while at < len(data) and len(out) < most and not broken:
+        zstd = data[at : at + 4] == b"\x28\xb5\x2f\xfd"
+        if zstd:
             import zstandard
 
-            with zstandard.ZstdDecompressor().stream_reader(data) as reader:
-                return reader.read(most)
-        if data[:2] == b"\x1f\x8b" or (data[:1] == b"\x78" and int.from_bytes(data[:2], "big") % 31 == 0):
-            return zlib.decompressobj(wbits=47).decompress(data, most)
-    except Exception:  # noqa: BLE001  damaged data of any kind is no layer
-        return None
-    return None
+            reader = zstandard.ZstdDecompressor().decompressobj()
+        elif data[at : at + 2] == b"\x1f\x8b" or (data[at : at + 1] == b"\x78" and len(data) > at + 1 and int.from_bytes(data[at : at + 2], "big") % 31 == 0):
+            reader = zlib.decompressobj(wbits=47)
+        else:
+            break
+        before, begin = len(out), at
+        try:
+            # Small pieces, since zstandard has no limit of its own.
+            while at < len(data) and len(out) < most and not reader.eof:
+                piece = data[at : at + step]
+                out += reader.decompress(piece) if zstd else reader.decompress(piece, most - len(out))
+                at += len(piece)
+            if reader.eof:
+                at -= len(reader.unused_data)
+            broken = not reader.eof and len(out) < most
+        except Exception:  # noqa: BLE001  damaged data of any kind
+            if step > 1:
+                return _members(data, most, 1)  # as far as it can be read
+            broken = True
+        if broken and len(out) == before:
+            at, broken = begin, begin > 0
+            break
+    return (bytes(out[:most]), at, broken) if out else None
 
 
-def _readable(data: bytes) -> str | None:
-    """The text if the bytes are UTF-8 with hardly any control characters."""
+def _inflate(data: bytes, most: int) -> tuple[bytes, int, bool] | None:
+    """Decompressed bytes, at most so many, the bytes they took, and if data was broken off; None if it isn't compressed."""
+    return _members(data, most, 512)
+
+
+def _readable(data: bytes, tail: bool = False) -> str | None:
+    """The text if the bytes are UTF-8 with hardly any control characters; ``tail``: its last character may be cut."""
     try:
         text = data.decode()
-    except UnicodeDecodeError:
-        return None
+    except UnicodeDecodeError as e:
+        if not tail or e.reason != "unexpected end of data":
+            return None
+        text = data[: e.start].decode()
     odd = sum(1 for c in text if c < " " and c not in "\t\n\r" or c == "\x7f")
     return text if text and odd * 20 <= len(text) else None
 
 
-def _unpacked(run: str, most: int) -> tuple[str, bool, str] | None:
-    """The text in a base64 run, whether it was compressed, and the layers' names."""
-    body = run.rstrip("=").replace("-", "+").replace("_", "/")
-    if len(body) % 4 == 1:
-        body = body[:-1]
-    try:
-        data = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
-    except (binascii.Error, ValueError):
-        return None
-    names, packed = ["base64"], False
-    while (more := _inflate(data, most)) is not None and more != data:
-        data, packed, most = more, True, most - len(more)
+class _Part(NamedTuple):
+    """A text in a base64 run: its place in the decoded bytes, whether it was compressed, its layers, and if it is broken off."""
+
+    text: str
+    begin: int
+    end: int
+    packed: bool
+    name: str
+    broken: bool
+
+
+def _unpacked(data: bytes, at: int, most: int) -> _Part | None:
+    """The text that the bytes from ``at`` hold, compressed or not."""
+    names, packed, broken, end = ["base64"], False, False, len(data)
+    inner = data[at:]
+    while (more := _inflate(inner, most)) is not None and more[0] != inner:
+        if not packed:
+            end = at + more[1]
+        inner, packed, broken, most = more[0], True, broken or more[2], most - len(more[0])
         names.append("compressed")
         if most <= 0:
             break
-    text = _readable(data)
-    return None if text is None else (text, packed, "+".join(names))
+    text = _readable(inner, packed and (broken or most <= 0))
+    return None if text is None else _Part(text, at, end, packed, "+".join(names), broken)
+
 
+def _parts(body: str, most: int) -> tuple[list[tuple[int, _Part]], bool]:
+    """Texts in a base64 run with the alignments they have, and whether one of them is the whole run.
 
-def _layers(text: str, most: int) -> Iterator[tuple[str, Up, str]]:
-    """Texts that lie one step below, how their spans lie in ``text``, and the step's name."""
+    A run that isn't one layer from its first character is decoded in all four alignments, and compressed data and
+    readable stretches are looked for inside, so what is glued to it doesn't matter.
+    """
+    body = body.replace("-", "+").replace("_", "/")
+    found: list[tuple[int, _Part]] = []
+    for shift in range(4):
+        own = body[shift:]
+        own = own[:-1] if len(own) % 4 == 1 else own
+        data = base64.b64decode(own + "=" * (-len(own) % 4))
+        if not shift and (part := _unpacked(data, 0, most)) and not part.broken and part.end == len(data):
+            return [(0, part)], True
+        taken = 0
+        for m in _MAGIC.finditer(data):
+            # What breaks off before the shortest secret is chance.
+            if m.start() >= taken and (part := _unpacked(data, m.start(), most)) and part.packed and (not part.broken or len(part.text) >= 12):
+                found.append((shift, part))
+                taken = part.end
+        for m in _STRETCH.finditer(data):
+            found.append((shift, _Part(m[0].decode(), m.start(), m.end(), False, "base64", False)))
+    return found, False
+
+
+def _run_layers(text: str, pieces: list[tuple[int, int]], finish: int, most: int) -> tuple[list[tuple[str, Up, str, bool]], bool]:
+    """Layers of the base64 run that lies in ``pieces`` of the text and ends, with its padding, at ``finish``."""
+    body = "".join(text[a:b] for a, b in pieces)
+    firsts, size = [], 0
+    for a, b in pieces:
+        firsts.append(size)
+        size += b - a
+    found, whole = _parts(body, most)
+
+    def place(low: int, high: int) -> tuple[int, int]:
+        k, last = bisect_right(firsts, low) - 1, bisect_right(firsts, high - 1) - 1
+        return pieces[k][0] + low - firsts[k], finish if high >= size else pieces[last][0] + high - firsts[last]
+
+    def above(shift: int, part: _Part) -> Up:
+        def up(start: int, end: int) -> tuple[int, int]:
+            low, high = part.begin, part.end
+            if not part.packed:
+                low, high = low + len(part.text[:start].encode()), low + len(part.text[:end].encode())
+            return place(shift + low * 4 // 3, min(size, shift - (-high * 4 // 3)))
+
+        return up
+
+    return [(p.text, above(shift, p), p.name, p.broken) for shift, p in found], whole
+
+
+def _layers(text: str, most: int) -> Iterator[tuple[str, Up, str, bool]]:
+    """Texts that lie one step below, how their spans lie in ``text``, the step's name, and if data was broken off."""
     if "%" in text and (found := _replaced(text, _PERCENT, _percent)):
-        yield *found, "url"
+        yield *found, "url", False
     if ("\\" in text or "&#" in text) and (found := _replaced(text, _ESCAPE, _escape)):
-        yield *found, "unicode"
+        yield *found, "unicode", False
     if _long_word(text, _LONG):
+        done = []  # wrapped runs, and whether each is one layer or has compressed data
+        for m in _WRAPPED.finditer(text) if "\n" in text else ():
+            layers, whole = _run_layers(text, [x.span() for x in _LINE.finditer(text, *m.span())], m.end(), most)
+            yield from layers
+            done.append((*m.span(), whole, any("compressed" in x[2] for x in layers)))
+        starts = [x[0] for x in done]
         for m in _BASE64.finditer(text):
-            if found := _unpacked(m[0], most):
-                new, packed, name = found
-                begin, finish = m.span()
-
-                def up(start: int, end: int, new=new, packed=packed, begin=begin, finish=finish) -> tuple[int, int]:
-                    if packed:
-                        return begin, finish
-                    low, high = len(new[:start].encode()), len(new[:end].encode())
-                    return begin + low * 4 // 3, min(finish, begin - (-high * 4 // 3))
-
-                yield new, up, name
+            k = bisect_right(starts, m.start()) - 1
+            inside = k >= 0 and m.start() < done[k][1]
+            if inside and done[k][2]:
+                continue
+            layers, _ = _run_layers(text, [(m.start(), m.start() + len(m[0].rstrip("=")))], m.end(), most)
+            # The first lines of wrapped compressed data are not a layer that breaks off.
+            yield from (x for x in layers if not (x[3] and inside and done[k][3]))
 
 
 class _Layer:
@@ -207,7 +299,9 @@ def _digest(text: str) -> bytes:
 
 
 def scan(text: str, most: int = DECODED_CHARS) -> tuple[list[Span], bool]:
-    """All spans, sorted by start, kind and end, those of the text itself at depth 0; whether ``most`` was reached.
+    """All spans, sorted by start, kind and end, those of the text itself at depth 0; whether something may be missing.
+
+    That is so if ``most`` decoded characters were reached or compressed data breaks off.
 
     A content is unwrapped once; its spans are mapped up from every place where it lies. Only a layer that repeats
     an ancestor is left alone.
@@ -215,14 +309,14 @@ def scan(text: str, most: int = DECODED_CHARS) -> tuple[list[Span], bool]:
     root = _Layer(text, most, _digest(text), None, "", 0)
     open_layers, heights = [root], {root.digest: 0}
     known: dict[bytes, dict[tuple[str, int, int], Span]] = {}
-    left = most
+    left, cut = most, False
     while True:
         layer = open_layers[-1]
         found = None if left <= 0 else next(layer.inner, None)
         if found is None:
             open_layers.pop()
             if not open_layers:
-                return sorted_spans(root.found), left <= 0
+                return sorted_spans(root.found), cut or left <= 0
             height = heights.pop(layer.digest)
             if layer.lowest >= height:
                 known[layer.digest] = layer.found
@@ -230,7 +324,8 @@ def scan(text: str, most: int = DECODED_CHARS) -> tuple[list[Span], bool]:
                 open_layers[-1].lowest = min(open_layers[-1].lowest, layer.lowest)
             open_layers[-1].lift(layer.found, layer.up, layer.name)
             continue
-        new, up, name = found
+        new, up, name, broken = found
+        cut = cut or broken
         left -= len(new)
         digest = _digest(new)
         if digest in known:
@@ -255,7 +350,7 @@ def scan_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", mos
 
     Positions are code points of the original text, ends exclusive; ``depth`` counts the layers around the secret
     (0: plain) and ``path`` names them, outermost first. ``cut`` tells that ``most`` decoded characters were
-    reached, so deeper layers were left alone. Repeated rows each give a row; there is no shuffle.
+    reached, so deeper layers were left alone, or that compressed data breaks off and was read up to there. Repeated rows each give a row; there is no shuffle.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
