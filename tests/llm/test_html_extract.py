@@ -63,6 +63,13 @@ def test_odd_pages(spark):
     assert ex.extract(df.limit(0)).collect() == []
 
 
+def test_outside_parts_go_at_any_depth():
+    parts = "<nav>menu <div>in it</div></nav><div class=sidebar>side</div><span hidden>unseen</span><form>name</form><p>text <b>kept</b></p><footer>foot<p>er</footer>"
+    for opened, closed in (("<div>" * 300, "</div>" * 300), ("<a><font><b>" * 60, ""), ("<div>" * 118 + "<b>" * 5, "")):
+        page = f"<body><div>{opened}{parts}<p>more</p>{closed}</div><p>end"
+        assert ex.content(ex.parse(page), None) == "text kept\nmore\nend"
+
+
 def test_merging_is_alignment():
     a, b = ex.shape([ex.parse("<body><h1>a</h1><p>x</p><ul><li>1</ul></body>")]), ex.shape([ex.parse("<body><p>y</p><ul><li>1</ul><hr></body>")])
     body = ex.merge(a, b)[5][0]

@@ -24,7 +24,7 @@ from waybill.session import materialize
 CONSTANT_SHARE, CONSTANT_PAGES = 0.9, 8
 #: Children a template node remembers; rarer ones are left out, which makes them content.
 MOST_CHILDREN = 64
-#: Levels that become nodes; what lies deeper belongs to the last of them.
+#: Levels that become nodes; what lies deeper belongs to the last of them, without the parts that are outside.
 MOST_LEVELS = 120
 #: Hosts a task merges at a time.
 TASK_HOSTS = 5_000
@@ -79,6 +79,11 @@ class Node:
         self.parts: list[str | Node] = []
 
 
+def _lost(tag: str) -> Node:
+    """A node outside the tree, for what lies outside the article below the last level: its text goes nowhere."""
+    return Node(tag)
+
+
 def parse(page: str) -> Node:
     """The tree of block elements with decoded text; inline elements dissolve unless their names put them outside."""
     root = Node("#")
@@ -131,7 +136,7 @@ def parse(page: str) -> Node:
                 stack[-1][1].parts.append(node)
                 stack.append((tag, node))
             else:
-                stack.append((tag, stack[-1][1]))
+                stack.append((tag, _lost(tag) if outside else stack[-1][1]))
             continue
         for depth in range(len(stack) - 1, 0, -1):
             open_tag = stack[depth][0]
@@ -150,7 +155,7 @@ def parse(page: str) -> Node:
                     break
         if len(stack) >= MOST_LEVELS:
             stack[-1][1].parts.append("\0")
-            stack.append((tag, stack[-1][1]))
+            stack.append((tag, _lost(tag) if Node(tag, names, hidden).outside else stack[-1][1]))
             continue
         node = Node(tag, names, hidden)
         stack[-1][1].parts.append(node)
