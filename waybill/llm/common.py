@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from waybill.session import materialize
+
 TOKENIZER_FOLDER = "public_tokenizers"
 
 
@@ -36,3 +38,20 @@ def text_bytes(batch: pa.RecordBatch, name: str = "text") -> Iterator[bytes]:
     """The UTF-8 bytes of the texts of a batch."""
     column = batch.column(batch.schema.get_field_index(name))
     return (value.as_py() for value in column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()))
+
+
+def numbered(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``rows`` with ``name`` 1, 2, 3 .. in ``order``, which must tell all rows apart to keep ranges even.
+
+    Rows are laid out in ranges of the order and written, numbered inside each range, and moved on by the rows of the
+    ranges before: of those only the counts, one row for each range, are summed up in one place.
+    """
+    ranged = rows.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    laid = materialize(ranged, "ranges")
+    counts = laid.groupBy("_range").agg(F.count("*").alias("_rows"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    # One row for each range: as many as a shuffle has partitions.
+    joined = laid.join(F.broadcast(starts), "_range")
+    return joined.withColumn(name, (F.col("_start") + place).cast("long")).drop("_range", "_start")

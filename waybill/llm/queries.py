@@ -6,7 +6,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from waybill.llm import bpe, fingerprints, html_extract, lm, near_dups, outliers, packing, secret_scan, sharding, toxicity
+from waybill.llm import (
+    bpe,
+    fingerprints,
+    html_extract,
+    importance,
+    lm,
+    mixing,
+    near_dups,
+    outliers,
+    packing,
+    secret_scan,
+    sharding,
+    toxicity,
+    variants,
+)
+from waybill.llm import sql as checks
 from waybill.llm.common import table
 from waybill.llm.registry import query
 from waybill.session import shared_dir
@@ -111,3 +126,19 @@ def op9_nested_secrets(spark: SparkSession, folder: str) -> DataFrame:
         secret_scan.listing(F.col("spans")).alias("spans"),
         "cut",
     )
+
+
+@query("op11_cube_mixing")
+def op11_cube_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, folder, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op12_importance", checks.IMPORTANCE)
+def op12_importance(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op13_variants", checks.VARIANTS)
+def op13_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.group_variants(table(spark, folder, "documents"))
