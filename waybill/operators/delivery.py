@@ -57,8 +57,13 @@ def append_log(entries: DataFrame, path: str) -> None:
 
 
 def init_log(spark: SparkSession, path: str) -> None:
-    """Create an empty log where there is none."""
-    spark.createDataFrame([], LOG_SCHEMA).write.mode("ignore").partitionBy(*_PARTITIONS).parquet(path)
+    """Create an empty log where there is none.
+
+    One file without rows stands in a full set of partition folders, so readers see the partition columns as such
+    from the first moment on.
+    """
+    none = spark.createDataFrame([], LOG_SCHEMA).drop(*_PARTITIONS)
+    none.coalesce(1).write.mode("ignore").parquet(f"{path}/outcome=NONE/consumer=NONE/batchId=-1/batchTry=0")
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:

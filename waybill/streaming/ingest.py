@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from waybill.operators import checkpoints, delivery
+from waybill.session import materialize
 
 
 def run_to_end(query: StreamingQuery) -> None:
@@ -48,6 +49,7 @@ def commit_each_batch(
     saves_path: str | None = None,
     queue_manager: str = "",
     consumer: str | None = None,
+    available_now: bool = True,
 ) -> StreamingQuery:
     """Hand each micro-batch to ``handle`` and log its messages as committed, or, if it raises, as
     rolled back before the query fails.
@@ -58,7 +60,8 @@ def commit_each_batch(
     checkpoints (see ``operators.checkpoints``), after the commit.
 
     Streams may share a log and a save folder: what a stream writes stands under ``consumer``, by default a name
-    made of its checkpoint folder, which no two streams share. The micro-batch is computed once.
+    made of its checkpoint folder, which no two streams share. The micro-batch is computed once. Without
+    ``available_now`` the query goes on until it is stopped; see ``sources.landed.caught_up``.
     """
     delivery.init_log(messages.sparkSession, log_path)
     consumer = consumer or f"stream-{hashlib.sha256(checkpoint.encode()).hexdigest()[:16]}"
@@ -67,7 +70,11 @@ def commit_each_batch(
         log = delivery.read_log(batch.sparkSession, log_path)
         log = log.filter((F.col("batchId") == batch_id) & (F.col("consumer") == consumer))
         batch_try = delivery.next_try(log, batch_id, consumer)
-        tried = delivery.with_redelivery_count(batch, log).persist(StorageLevel.MEMORY_AND_DISK)
+        tried = batch
+        if batch_try > 1:
+            # A copy: Spark computes cached plans anew when a folder that they read is written to, as the log is below.
+            tried = delivery.with_redelivery_count(batch, materialize(log, "rollbacks"))
+        tried = tried.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             settle_batch(tried, batch_id, batch_try)
         finally:
@@ -91,12 +98,8 @@ def commit_each_batch(
             saves = saves.withColumns({"seq": F.lit(batch_id).cast("bigint"), "deleted": F.lit(False)})
             saves.write.mode("overwrite").parquet(f"{saves_path}/consumer={consumer}/batch={batch_id}")
 
-    return (
-        messages.writeStream.foreachBatch(on_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    writer = messages.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
 def write_batch(path: str) -> Callable[[DataFrame, int], None]:
