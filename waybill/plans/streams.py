@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from waybill.operators import audit, delivery
+from waybill.operators import audit, checkpoints, delivery
 from waybill.plans import views
 from waybill.plans.flowing import _SHOWN, REFILLED, TOKENS
 from waybill.plans.registry import query
 from waybill.session import shared_dir
-from waybill.sources import envelopes
-from waybill.sources.messages import stream_files
+from waybill.sources import envelopes, landed
+from waybill.sources.messages import TABLE_SCHEMA, stream_files
 from waybill.streaming import fanout, ingest, stateful
 
 
@@ -53,13 +53,50 @@ def stream_dedup(spark, folder):
 )
 def stream_commit(spark, folder):
     path = shared_dir(spark, "commit")
-    started = ingest.commit_each_batch(
-        _event_stream(spark, folder), ingest.write_batch(f"{path}/out"), f"{path}/log", f"{path}/checkpoint"
-    )
-    ingest.run_to_end(started)
+    _committed(spark, folder, path)
     return views.flat(delivery.read_log(spark, f"{path}/log"), "queueName", "messageIdHex", "attempt", "outcome")
 
 
+def _committed(spark, folder, path):
+    """Commit every event, with its log and its checkpoints below ``path``."""
+    store = ingest.write_batch(f"{path}/out")
+    stream = _event_stream(spark, folder)
+    ingest.run_to_end(ingest.commit_each_batch(stream, store, f"{path}/log", f"{path}/checkpoint", f"{path}/saves", "QM1"))
+
+
+@query(
+    "stream_saves",
+    views.E
+    + """SELECT q AS "queueName", 'QM1' AS "queueManager", max_by(id, (ms, id)) AS "lastMessageId",
+    max_by(corr, (ms, id)) AS "lastCorrelationId", max(ms) AS "lastProcessedTimestamp", count(*) AS "messagesProcessed",
+    sum(size)::BIGINT AS "bytesProcessed" FROM e GROUP BY q""",
+)
+def stream_saves(spark, folder):
+    """The checkpoints that the committing stream leaves."""
+    path = shared_dir(spark, "saves")
+    _committed(spark, folder, path)
+    saves = checkpoints.latest(spark.read.parquet(f"{path}/saves/*"))
+    return saves.drop("partitionId", "createdAt")
+
+
+@query(
+    "stream_bounded",
+    views.E
+    + """SELECT (row_number() OVER (PARTITION BY q ORDER BY ms, id) - 1) // 1000 AS batch, q AS "queueName",
+    id AS "messageIdHex", body AS "payloadString" FROM e""",
+)
+def stream_bounded(spark, folder):
+    """Events landed in one load and streamed a thousand a queue and micro-batch."""
+    path = shared_dir(spark, "bounded")
+    events = views.events(spark, folder)
+    landed.land(events.select([f.name for f in TABLE_SCHEMA if f.name in events.columns]), f"{path}/landed")
+    stream = landed.stream_landed(spark, f"{path}/landed", 1000)
+    writer = stream.writeStream.foreachBatch(ingest.write_batch(f"{path}/out"))
+    landed.caught_up(writer.option("checkpointLocation", f"{path}/checkpoint").start())
+    got = spark.read.option("basePath", f"{path}/out").parquet(f"{path}/out/*")
+    return views.flat(got.withColumn("batch", F.col("batch").cast("bigint")), "batch", "queueName", "messageIdHex", "payloadString")
+
+
 @query("throttle_stream", REFILLED + _SHOWN)
 def throttle_stream(spark, folder):
     path = shared_dir(spark, "throttle")
