@@ -28,7 +28,11 @@ def _with_payload(messages: DataFrame, picked: DataFrame, bound: int) -> DataFra
     The pick is written down first. It stays the same whatever is committed later, and its put times
     bound the second scan: files and row groups outside them are skipped.
     """
-    ids = materialize(picked.select(*KEY, "timestamp", "position"), "claim")
+    return with_payload(messages, materialize(picked.select(*KEY, "timestamp", "position"), "claim"), bound)
+
+
+def with_payload(messages: DataFrame, ids: DataFrame, bound: int) -> DataFrame:
+    """Full rows of written ``ids`` (key, ``timestamp`` and what else they carry); there are at most ``bound``."""
     micros = F.unix_micros("timestamp")
     first, last = ids.agg(F.min(micros), F.max(micros)).first()
     near = messages
