@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from waybill.operators import checkpoints, claim, delivery, progress
+from waybill.operators import checkpoints, claim, delivery, leases, progress, settled
 from waybill.operators import queue_config as config
 from waybill.plans import views
 from waybill.plans.registry import query
 from waybill.session import shared_dir
+from waybill.sources import landed
 from waybill.sources.envelopes import table
+from waybill.sources.messages import TABLE_SCHEMA
 
 CLAIM_COLUMNS = (
     "queueName",
@@ -40,6 +42,45 @@ def claim_batch(spark, folder):
     return views.flat(batch, *CLAIM_COLUMNS)
 
 
+@query("claim_settled", CLAIM_SQL)
+def claim_settled(spark, folder):
+    """The same claim from a table landed in two loads, with what is committed kept as bitmaps of its rows."""
+    e = views.events(spark, folder)
+    path = shared_dir(spark, "settled")
+    known = e.select([f.name for f in TABLE_SCHEMA if f.name in e.columns])
+    for part in (0, 1):
+        landed.land(known.where(F.col("event_id") % 2 == part), f"{path}/landed")
+    committed = views.delivery_log(e).where("outcome = 'COMMIT'").select(*claim.KEY)
+    rows = landed.read_landed(spark, f"{path}/landed").select(*claim.KEY, *settled.ADDRESS).join(committed, claim.KEY, "left_semi")
+    for part in (0, 1):
+        settled.settle(rows.where(F.col("landedRow") % 2 == part), f"{path}/marks")
+    settled.compact(spark, f"{path}/marks")
+    batch = settled.claim_landed(spark, f"{path}/landed", f"{path}/marks", views.QUEUES)
+    return views.flat(batch, *CLAIM_COLUMNS)
+
+
+@query(
+    "leased_claim",
+    views.E
+    + """, o AS (SELECT q, id, row_number() OVER (PARTITION BY q ORDER BY ms, id) AS rn FROM e), l AS (
+  SELECT 'first' AS owner, 1 AS fence, 'ROLLBACK' AS outcome, 0 AS returned, q, id FROM o WHERE rn <= 100
+  UNION ALL SELECT 'second', 2, 'COMMIT', 0, q, id FROM o WHERE rn BETWEEN 101 AND 200
+  UNION ALL SELECT 'third', 4, 'HELD', 1, q, id FROM o WHERE rn <= 100
+  UNION ALL SELECT 'fourth', 5, 'HELD', 0, q, id FROM o WHERE rn BETWEEN 201 AND 300)
+  SELECT owner, fence, outcome, returned, q AS "queueName", id AS "messageIdHex" FROM l""",
+)
+def leased_claim(spark, folder):
+    """Four claimers in turn: the first lets its lease expire, the second commits, the third gets what the first had."""
+    e = views.events(spark, folder)
+    root = shared_dir(spark, "leases")
+    ask = lambda owner, now: leases.claim(e, root, owner, views.QUEUES, now, lease_ms=1000, batch_size=100)
+    ask("first", 0)
+    leases.commit(spark, ask("second", 500), 900)
+    ask("third", 1200)
+    ask("fourth", 1300)
+    return views.flat(leases.lease_log(spark, root, 1400), "owner", "fence", "outcome", "returned", *claim.KEY)
+
+
 @query("browse_batch", _UNREAD + _CLAIM_SELECT + " FROM unread WHERE rn <= 100")
 def browse_batch(spark, folder):
     e = views.events(spark, folder)

@@ -11,7 +11,7 @@ from waybill.plans.registry import query
 from waybill.session import shared_dir
 from waybill.sources import envelopes, landed
 from waybill.sources.messages import TABLE_SCHEMA, stream_files
-from waybill.streaming import fanout, ingest, stateful
+from waybill.streaming import atomic, fanout, ingest, stateful
 
 
 def _event_stream(spark, folder):
@@ -79,6 +79,30 @@ def stream_saves(spark, folder):
     return saves.drop("partitionId", "createdAt")
 
 
+@query(
+    "stream_published",
+    views.E
+    + """SELECT 'output' AS part, q AS "queueName", id AS "messageIdHex", backout + 1 AS attempt FROM e WHERE backout < 3
+  UNION ALL SELECT 'log', q, id, backout + 1 FROM e
+  UNION ALL SELECT 'checkpoint', q, max_by(id, (ms, id)), count(*) FROM e GROUP BY q""",
+)
+def stream_published(spark, folder):
+    """Output, log and checkpoints of a stream whose batches become visible as a whole."""
+    root = f"{shared_dir(spark, 'published')}/t"
+
+    def make(batch):
+        return batch.where("backoutCount < 3").select("queueName", "messageIdHex", "backoutCount")
+
+    ingest.run_to_end(atomic.publish_each_batch(_event_stream(spark, folder), make, root, f"{root}-checkpoint", "QM1"))
+    key = ["queueName", "messageIdHex"]
+    out = atomic.read_published(spark, root, atomic.OUTPUT, "queueName string, messageIdHex string, backoutCount int")
+    out = out.select(F.lit("output").alias("part"), *key, (F.col("backoutCount") + 1).alias("attempt"))
+    log = atomic.read_log(spark, root).select(F.lit("log").alias("part"), *key, "attempt")
+    saved = atomic.read_checkpoints(spark, root)
+    saved = saved.select(F.lit("checkpoint").alias("part"), "queueName", "lastMessageId", "messagesProcessed")
+    return views.flat(out.union(log).union(saved))
+
+
 @query(
     "stream_bounded",
     views.E
