@@ -21,6 +21,7 @@ from waybill.session import materialize
 KEY = ["queueName", "_ms"]
 SECOND = 1000
 SEGMENT_MS = 3_600_000  # at most 3.6 million distinct milliseconds are held at a time
+FAN = 1_000  # maps of one queue that one task goes through in a row
 
 
 def _next_start(times: np.ndarray, window_ms: int) -> np.ndarray:
@@ -79,20 +80,60 @@ def _transitions(window_ms: int, segment_ms: int):
     return run
 
 
+def compose(first: tuple, second: tuple, window_ms: int) -> tuple:
+    """Two maps (first time, entries, exits), one behind the other, as one.
+
+    A map says: a window that may open from ``entries[i]`` on (and not from ``entries[i - 1]``) leads to a last opening at
+    ``exits[i]``; one that may only open later passes through unopened.
+    """
+    begin, entries, exits = first
+    _, later, ends = second
+    at = np.searchsorted(later, exits + window_ms)
+    behind = np.where(at < len(later), ends[np.minimum(at, len(later) - 1)], exits)
+    # Windows that pass through the first map reach the second; none is open beyond a window after the first time.
+    low = np.searchsorted(later, entries[-1], side="right")
+    high = np.searchsorted(later, begin + window_ms) + 1
+    entries = np.concatenate([entries, later[low:high]])
+    exits = np.concatenate([behind, ends[low:high]])
+    keep = np.append(exits[1:] != exits[:-1], True)
+    return begin, entries[keep], exits[keep]
+
+
+def _blocks(window_ms: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The maps of each (queue, block) as one; rows come sorted by (queue, block, segment)."""
+        key, held = None, None
+        columns = ["queueName", "_segment", "_first", "_entries", "_exits"]
+        for pdf in batches:
+            done = []
+            for queue, block, _, first, entries, exits in pdf.itertuples(index=False):
+                if (queue, block) == key:
+                    held = compose(held, (first, entries, exits), window_ms)
+                    continue
+                if held is not None:
+                    done.append((*key, *held))
+                key, held = (queue, block), (first, entries, exits)
+            yield pd.DataFrame(done, columns=columns)
+        if held is not None:
+            yield pd.DataFrame([(*key, *held)], columns=columns)
+
+    return run
+
+
 def _chain(window_ms: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Hand the open window from segment to segment; rows come sorted by (queue, segment)."""
-        queue, opened = None, None
+        """Hand the open window of each (queue, block) from segment to segment; rows come sorted by them."""
+        key, opened = None, None
         for pdf in batches:
             handed = []
-            for row in pdf.itertuples(index=False):
-                if row[0] != queue:
-                    queue, opened = row[0], None if pd.isna(row[5]) else int(row[5])
+            for queue, block, _, first, entries, exits, given in pdf.itertuples(index=False):
+                if (queue, block) != key:
+                    key, opened = (queue, block), None if pd.isna(given) else int(given)
                 handed.append(opened)
-                earliest = row[2] if opened is None else opened + window_ms
-                at = np.searchsorted(row[3], earliest)
-                if at < len(row[3]):
-                    opened = int(row[4][at])
+                earliest = first if opened is None else opened + window_ms
+                at = np.searchsorted(entries, earliest)
+                if at < len(entries):
+                    opened = int(exits[at])
             yield pd.DataFrame(
                 {"queueName": pdf["queueName"], "_segment": pdf["_segment"], "_open": pd.array(handed, dtype="Int64")}
             )
@@ -124,33 +165,54 @@ def _assign(window_ms: int):
     return run
 
 
-def _refill_windows(arrivals: DataFrame, window_ms: int, carry: DataFrame | None) -> DataFrame:
+_MAP = "queueName string, _segment bigint, _first bigint, _entries array<bigint>, _exits array<bigint>"
+
+
+def _openings(maps: DataFrame, window_ms: int, carry: DataFrame | None, levels: int) -> DataFrame:
+    """The window open at the start of every segment, as (queueName, _segment, _open).
+
+    Blocks of FAN segments are composed side by side, blocks of blocks likewise, until a queue has no more than FAN. The
+    opening is then handed down the same way, so no task sees more than FAN maps of a queue in a row.
+    """
+    columns = ["queueName", "_block", "_segment", "_first", "_entries", "_exits"]
+    tree = [maps]
+    for _ in range(levels - 1):
+        tree[-1] = materialize(tree[-1], "windows")  # read on the way up and on the way down
+        blocked = tree[-1].withColumn("_block", F.floor(F.col("_segment") / FAN)).select(*columns)
+        sorted_ = blocked.repartition("queueName", "_block").sortWithinPartitions("queueName", "_block", "_segment")
+        tree.append(sorted_.mapInPandas(_blocks(window_ms), _MAP))
+    opened = None
+    for maps_ in reversed(tree):
+        if opened is None:
+            blocked = maps_.withColumn("_block", F.lit(0).cast("bigint"))
+            if carry is None:
+                blocked = blocked.withColumn("_opened", F.lit(None).cast("bigint"))
+            else:
+                blocked = blocked.join(carry.select("queueName", F.col("windowStart").alias("_opened")), "queueName", "left")
+        else:
+            above = opened.select("queueName", F.col("_segment").alias("_block"), F.col("_open").alias("_opened"))
+            blocked = maps_.withColumn("_block", F.floor(F.col("_segment") / FAN)).join(above, ["queueName", "_block"], "left")
+        sorted_ = blocked.select(*columns, "_opened").repartition("queueName", "_block")
+        sorted_ = sorted_.sortWithinPartitions("queueName", "_block", "_segment")
+        opened = sorted_.mapInPandas(_chain(window_ms), "queueName string, _segment bigint, _open bigint")
+    return opened
+
+
+def _refill_windows(arrivals: DataFrame, window_ms: int, carry: DataFrame | None, levels: int) -> DataFrame:
     """Windows that open with the first message at least ``window_ms`` after the last opening.
 
     Each time segment is reduced to a small map from possible first openings to its last opening, the
-    maps are chained per queue, and the segments are then laid out in parallel.
+    maps are composed in a tree, and the segments are then laid out in parallel. Segments may be shorter than windows.
     """
-    segment_ms = max(SEGMENT_MS, window_ms)
-    segment = F.floor(F.col("_ms") / segment_ms).alias("_segment")
+    segment = F.floor(F.col("_ms") / SEGMENT_MS).alias("_segment")
     segmented = arrivals.select("queueName", segment, "_ms", "_arrived")
     key = ["queueName", "_segment"]
     maps = (
         segmented.repartition(*key)
         .sortWithinPartitions(*key, "_ms")
-        .mapInPandas(
-            _transitions(window_ms, segment_ms),
-            "queueName string, _segment bigint, _first bigint, _entries array<bigint>, _exits array<bigint>",
-        )
-    )
-    if carry is None:
-        maps = maps.withColumn("_opened", F.lit(None).cast("bigint"))
-    else:
-        maps = maps.join(carry.select("queueName", F.col("windowStart").alias("_opened")), "queueName", "left")
-    opened = (
-        maps.repartition("queueName")
-        .sortWithinPartitions(*key)
-        .mapInPandas(_chain(window_ms), "queueName string, _segment bigint, _open bigint")
+        .mapInPandas(_transitions(window_ms, SEGMENT_MS), _MAP)
     )
+    opened = _openings(maps, window_ms, carry, levels)
     return (
         segmented.join(opened, key, "left")  # every segment is there; an inner join would read the log twice
         .repartition(*key)
@@ -159,6 +221,16 @@ def _refill_windows(arrivals: DataFrame, window_ms: int, carry: DataFrame | None
     )
 
 
+def _levels(messages: DataFrame) -> int:
+    """How often the segments of the log's time span must be put into blocks of FAN."""
+    ms = F.unix_millis("timestamp")
+    low, high = messages.agg(F.min(ms), F.max(ms)).first()
+    low, high, levels = (low or 0) // SEGMENT_MS, (high or 0) // SEGMENT_MS, 1
+    while high - low >= FAN:
+        low, high, levels = low // FAN, high // FAN, levels + 1
+    return levels
+
+
 def bucket_windows(
     messages: DataFrame,
     limits: DataFrame,
@@ -177,7 +249,7 @@ def bucket_windows(
     if aligned:
         windows = arrivals.withColumn("_window", F.col("_ms") - F.pmod(F.col("_ms"), F.lit(window_ms)))
     else:
-        windows = _refill_windows(arrivals, window_ms, carry)
+        windows = _refill_windows(arrivals, window_ms, carry, _levels(messages))
     earlier = Window.partitionBy("queueName", "_window").orderBy("_ms").rowsBetween(Window.unboundedPreceding, -1)
     counted = windows.withColumn("_used", F.coalesce(F.sum("_arrived").over(earlier), F.lit(0)))
     if carry is not None:

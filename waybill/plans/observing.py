@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from waybill.operators import audit, checkpoints, metrics, parse, recovery
+from waybill.operators import audit, checkpoints, latencies, metrics, parse, recovery
 from waybill.plans import views
 from waybill.plans.recovering import _ROUTED, routed
 from waybill.plans.registry import query
+from waybill.session import materialize
 
 # Counters: `m` has one row per label, null where nothing was recorded.
 _METRICS = views.LOG_FAILURES_POLLS + f""", conn AS ({views.CONNECTIONS}), m AS (
@@ -121,6 +122,24 @@ def processing_times(spark, folder):
     return metrics.processing_times(views.events(spark, folder))
 
 
+@query(
+    "processing_percentiles",
+    views.E
+    + """, t AS (SELECT q, recv_ms - ms AS took FROM e)
+  SELECT q AS "queueName", count(*) AS processed, round(avg(took), 6) AS "averageMs", min(took) AS "shortestMs",
+    max(took) AS "longestMs", true AS "p50Near", true AS "p90Near", true AS "p99Near" FROM t GROUP BY q""",
+)
+def processing_percentiles(spark, folder):
+    """Quantiles from sketches of a minute, and whether their rank among all messages is off by less than 1 per cent."""
+    events = views.events(spark, folder)
+    stored = materialize(latencies.time_sketches(events), "sketches")
+    found = materialize(latencies.with_quantiles(latencies.merge_sketches(stored)), "quantiles")
+    errors = latencies.rank_errors(events, found)
+    near = [(F.col(f"{n}Error") < 0.01).alias(f"{n}Near") for n in ("p50", "p90", "p99")]
+    shown = found.select("queueName", "processed", F.round("averageMs", 6).alias("averageMs"), "shortestMs", "longestMs")
+    return shown.join(errors.select("queueName", *near), "queueName")
+
+
 @query(
     "sent_counts",
     _ROUTED
