@@ -44,6 +44,9 @@ def difference(spark_frame: pd.DataFrame, sql_frame: pd.DataFrame) -> str | None
         return f"columns {sorted(spark_frame.columns)} != {sorted(sql_frame.columns)}"
     if len(spark_frame) != len(sql_frame):
         return f"rows {len(spark_frame)} != {len(sql_frame)}"
+    # Spark hands whole numbers with nulls to pandas as floats.
+    nullable = [c for c in sql_frame if str(sql_frame[c].dtype) == "Int64" and spark_frame[c].dtype == float]
+    spark_frame = spark_frame.astype(dict.fromkeys(nullable, "Int64"))
     ours, theirs = _normal(spark_frame), _normal(sql_frame)
     wrong = ours.ne(theirs).any(axis=1)
     if wrong.any():
