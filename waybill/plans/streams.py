@@ -11,7 +11,7 @@ from waybill.plans.registry import query
 from waybill.session import shared_dir
 from waybill.sources import envelopes, landed
 from waybill.sources.messages import TABLE_SCHEMA, stream_files
-from waybill.streaming import atomic, fanout, ingest, stateful
+from waybill.streaming import atomic, drain, fanout, ingest, stateful
 
 
 def _event_stream(spark, folder):
@@ -103,6 +103,28 @@ def stream_published(spark, folder):
     return views.flat(out.union(log).union(saved))
 
 
+@query(
+    "stream_drain",
+    views.E
+    + """, log AS (SELECT q, ms AS t, event_id * 3 AS seq, 1 AS delta, NULL AS timeout FROM e
+    UNION ALL SELECT q, recv_ms, event_id * 3 + 1, -1, NULL FROM e
+    UNION ALL SELECT q, ms + 1000, event_id * 3 + 2, 0, event_id % 4 * 1000 FROM e WHERE event_id % 7 = 0), running AS (
+  SELECT *, sum(delta) OVER (PARTITION BY q ORDER BY t, seq) AS flying FROM log), following AS (
+  SELECT *, min(CASE WHEN flying = 0 THEN t END) OVER (PARTITION BY q ORDER BY t, seq
+    ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS empty FROM running), decided AS (
+  SELECT q, seq, t, timeout, coalesce(empty <= t + timeout, false) AS drained, empty FROM following WHERE timeout IS NOT NULL)
+  SELECT q AS "queueName", seq, t AS "requestedMs", timeout AS "timeoutMs",
+    CASE WHEN drained THEN 'DRAINED' ELSE 'TIMED_OUT' END AS outcome, CASE WHEN drained THEN empty ELSE t + timeout END AS "decidedMs"
+  FROM decided WHERE drained OR t + timeout < (SELECT max(t) FROM log)""",
+)
+def stream_drain(spark, folder):
+    """Drain requests that wait for what is in flight, with timeouts of up to three seconds."""
+    path = shared_dir(spark, "drain")
+    results = drain.drain_results(views.drain_log(_event_stream(spark, folder)), "0 seconds")
+    ingest.run_to_end(drain.write_drains(results, f"{path}/out", f"{path}/checkpoint"))
+    return spark.read.schema(drain.OUTPUT).parquet(f"{path}/out").drop("inFlight")
+
+
 @query(
     "stream_bounded",
     views.E

@@ -153,6 +153,18 @@ def tracking(e: DataFrame) -> DataFrame:
     return track.unionByName(complete)
 
 
+def drain_log(e: DataFrame) -> DataFrame:
+    """Every message tracked when put and completed when received; a second after every seventh a drain request."""
+    number = F.conv("messageIdHex", 16, 10).cast("bigint")
+    log = lambda action, ts, step, timeout: e.select(
+        "queueName", "messageIdHex", F.lit(action).alias("action"), ts.alias("ts"),
+        (number * 3 + step).alias("seq"), timeout.cast("bigint").alias("timeoutMs"),
+    )
+    later = F.timestamp_millis(F.unix_millis("timestamp") + 1000)
+    asked = log("DRAIN", later, 2, number % 4 * 1000).where(F.pmod(F.col("seq") - 2, F.lit(21)) == 0)
+    return log("TRACK", F.col("timestamp"), 0, F.lit(None)).union(log("COMPLETE", F.col("receivedAt"), 1, F.lit(None))).union(asked)
+
+
 def event_queue_config(spark: SparkSession) -> DataFrame:
     return queue_config(
         spark,
