@@ -25,8 +25,10 @@ from waybill.session import materialize
 DIMENSIONS, BITS = 4, 15
 #: Hashed features of a document vector.
 FEATURES = 1024
-#: Entries of the per-task cache of encoded words; a full cache starts anew.
-CACHE_WORDS = 400_000
+#: Entries of the per-task cache of encoded words, about 200 bytes each; a full cache starts anew.
+CACHE_WORDS = 1_000_000
+#: Words that go to the library as one text: it takes longer for each in short ones and in long ones.
+JOINED_WORDS = 50
 #: Sequences from here on are numbered from range number << SEQUENCE_BITS.
 SEQUENCE_BITS = 40
 
@@ -81,7 +83,7 @@ class WordIds:
             if mark not in known:
                 others.add(mark)
         batch = list(letters)
-        parts = [batch[begin : begin + 2000] for begin in range(0, len(batch), 2000)]
+        parts = [batch[begin : begin + JOINED_WORDS] for begin in range(0, len(batch), JOINED_WORDS)]
         coded = self.tokenizer.encode_batch_fast([b" ".join(part).decode() for part in parts], add_special_tokens=False)
         for part, found in zip(parts, coded, strict=True):
             ids = np.array(found.ids, np.uint32)
