@@ -1,6 +1,7 @@
 import base64
 import gzip
 import re
+import time
 import urllib.parse
 import zlib
 
@@ -136,3 +137,35 @@ def test_masked_rows(make):
     docs = make([(1, f"a {SECRET} b", "en", "s", 99)])
     row = scan.mask_documents(docs).first()
     assert row.text == 'a [SECRET]" b' and row.n_chars == len(row.text)
+
+
+def _packed(data: bytes) -> str:
+    return base64.b64encode(zlib.compress(data, 9)).decode()
+
+
+def test_what_is_cut_is_masked_whole():
+    bomb = _packed(b"x" * 100_000 + b" password=hunter22 ")
+    text = f"before {bomb} after password=hunter33 {_packed(b'token: abcdefgh')} end"
+    spans, cut = scan.scan(text, most=50_000)
+    assert cut and [text[s.start : s.end] for s in spans] == ["password=hunter33"]
+    got = scan.masked(text, most=50_000)
+    assert got == "before [SECRET] after [SECRET] [SECRET] end"
+    # Within the bound all is seen; only what holds a secret goes.
+    assert scan.masked(text).count("[SECRET]") == 3 and not scan.scan(text)[1]
+    harmless = f"before {_packed(b'x' * 100_000)} after"
+    assert scan.masked(harmless) == harmless
+    broken = f"before {_packed(bytes(range(32, 120)) * 50 + b'secret')[:-24]} after"
+    assert scan.scan(broken)[1] and scan.masked(broken) == "before [SECRET] after"
+
+
+@pytest.mark.parametrize("seed", [b"x\x9c", b"\x28\xb5\x2f\xfd", b"\x1f\x8b\x08", b"x\x9cab"])
+def test_time_follows_the_length_of_what_looks_compressed(seed):
+    def took(size):
+        text = base64.b64encode(seed * (size // len(seed))).decode() + " password=hunter22"
+        begin = time.process_time()
+        assert [s.kind for s in scan.scan(text)[0]] == ["assign"]
+        return time.process_time() - begin
+
+    took(10_000)
+    short, long = took(100_000), took(800_000)
+    assert long < 16 * max(short, 0.1)

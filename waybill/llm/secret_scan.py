@@ -46,9 +46,17 @@ _STRETCH = re.compile(
     rb"|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}){12,}+"
 )
 _LONG = 16
+#: Bytes of compressed data that are fed first, and at a time at most.
+FIRST_BYTES, MOST_BYTES = 8, 4096
+#: Bytes after which a stream must have given something; headers and code tables are shorter.
+HEADER_BYTES = 2048
 Up = Callable[[int, int], tuple[int, int] | None]
 
 
+#: Kind of a run that was not decoded to its end.
+CUT = "cut"
+
+
 class Span(NamedTuple):
     kind: str
     start: int
@@ -124,44 +132,58 @@ def _escape(run: str) -> str:
     return chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else "�"
 
 
-def _members(data: bytes, most: int, step: int) -> tuple[bytes, int, bool] | None:
-    """What the gzip members, zlib streams or zstandard frames at the begin of ``data`` hold, the bytes they take, and if the last is broken."""
-    out, at, broken = bytearray(), 0, False
-    while at < len(data) and len(out) < most and not broken:
-        zstd = data[at : at + 4] == b"\x28\xb5\x2f\xfd"
-        if zstd:
-            import zstandard
+def _reader(zstd: bool):
+    if zstd:
+        import zstandard
 
-            reader = zstandard.ZstdDecompressor().decompressobj()
-        elif data[at : at + 2] == b"\x1f\x8b" or (data[at : at + 1] == b"\x78" and len(data) > at + 1 and int.from_bytes(data[at : at + 2], "big") % 31 == 0):
-            reader = zlib.decompressobj(wbits=47)
-        else:
+        return zstandard.ZstdDecompressor().decompressobj()
+    return zlib.decompressobj(wbits=47)
+
+
+def _inflate(data: bytes, at: int, most: int) -> tuple[bytes, int, bool] | None:
+    """What the gzip members, zlib streams or zstandard frames from place ``at`` on hold, where they end, and if the last
+    is broken; at most ``most`` bytes. None if it isn't compressed.
+
+    Nothing is copied but what is fed. Pieces grow, so data that only looks compressed is given up after a few bytes;
+    damaged data is read up to its damage by halving the piece that fails.
+    """
+    view, out, start, broken = memoryview(data), bytearray(), at, False
+    while at < len(data) and len(out) < most and not broken:
+        zstd = view[at : at + 4] == b"\x28\xb5\x2f\xfd"
+        deflated = view[at : at + 2] == b"\x1f\x8b" or (view[at : at + 1] == b"\x78" and len(data) > at + 1 and int.from_bytes(view[at : at + 2], "big") % 31 == 0)
+        if not zstd and not deflated:
             break
-        before, begin = len(out), at
-        try:
-            # Small pieces, since zstandard has no limit of its own.
-            while at < len(data) and len(out) < most and not reader.eof:
-                piece = data[at : at + step]
-                out += reader.decompress(piece) if zstd else reader.decompress(piece, most - len(out))
-                at += len(piece)
-            if reader.eof:
-                at -= len(reader.unused_data)
-            broken = not reader.eof and len(out) < most
-        except Exception:  # noqa: BLE001  damaged data of any kind
-            if step > 1:
-                return _members(data, most, 1)  # as far as it can be read
-            broken = True
+        reader, before, begin, step, damaged = _reader(zstd), len(out), at, FIRST_BYTES, False
+        while at < len(data) and len(out) < most and not reader.eof:
+            kept = None if zstd or at == begin else reader.copy()
+            piece = view[at : at + step]
+            try:
+                # Small pieces, since zstandard has no limit of its own.
+                found = reader.decompress(piece) if zstd else reader.decompress(piece, most - len(out))
+            except Exception:  # noqa: BLE001  damaged data of any kind
+                damaged = True
+                if step == 1 or at == begin:
+                    break
+                reader = kept or _reader(zstd)
+                if zstd:
+                    reader.decompress(view[begin:at])
+                step //= 2
+                continue
+            out += found
+            at += len(piece)
+            if len(out) == before and at - begin > HEADER_BYTES:
+                break
+            if not damaged:
+                step = min(2 * step, MOST_BYTES)
+        if reader.eof:
+            at -= len(reader.unused_data)
+        broken = not reader.eof and len(out) < most
         if broken and len(out) == before:
-            at, broken = begin, begin > 0
+            at, broken = begin, begin > start
             break
     return (bytes(out[:most]), at, broken) if out else None
 
 
-def _inflate(data: bytes, most: int) -> tuple[bytes, int, bool] | None:
-    """Decompressed bytes, at most so many, the bytes they took, and if data was broken off; None if it isn't compressed."""
-    return _members(data, most, 512)
-
-
 def _readable(data: bytes, tail: bool = False) -> str | None:
     """The text if the bytes are UTF-8 with hardly any control characters; ``tail``: its last character may be cut."""
     try:
@@ -187,15 +209,16 @@ class _Part(NamedTuple):
 
 def _unpacked(data: bytes, at: int, most: int) -> _Part | None:
     """The text that the bytes from ``at`` hold, compressed or not."""
-    names, packed, broken, end = ["base64"], False, False, len(data)
-    inner = data[at:]
-    while (more := _inflate(inner, most)) is not None and more[0] != inner:
+    names, packed, broken, end, inner, place = ["base64"], False, False, len(data), data, at
+    while (more := _inflate(inner, place, most)) is not None and more[0] != inner:
         if not packed:
-            end = at + more[1]
-        inner, packed, broken, most = more[0], True, broken or more[2], most - len(more[0])
+            end = more[1]
+        inner, place, packed, broken, most = more[0], 0, True, broken or more[2], most - len(more[0])
         names.append("compressed")
         if most <= 0:
             break
+    if at and not packed:
+        return None
     text = _readable(inner, packed and (broken or most <= 0))
     return None if text is None else _Part(text, at, end, packed, "+".join(names), broken)
 
@@ -225,7 +248,10 @@ def _parts(body: str, most: int) -> tuple[list[tuple[int, _Part]], bool]:
     return found, False
 
 
-def _run_layers(text: str, pieces: list[tuple[int, int]], finish: int, most: int) -> tuple[list[tuple[str, Up, str, bool]], bool]:
+Below = tuple[str, Up, str, bool, tuple[int, int] | None]
+
+
+def _run_layers(text: str, pieces: list[tuple[int, int]], finish: int, most: int) -> tuple[list[Below], bool]:
     """Layers of the base64 run that lies in ``pieces`` of the text and ends, with its padding, at ``finish``."""
     body = "".join(text[a:b] for a, b in pieces)
     firsts, size = [], 0
@@ -247,15 +273,17 @@ def _run_layers(text: str, pieces: list[tuple[int, int]], finish: int, most: int
 
         return up
 
-    return [(p.text, above(shift, p), p.name, p.broken) for shift, p in found], whole
+    run = pieces[0][0], finish
+    return [(p.text, above(shift, p), p.name, p.broken, run) for shift, p in found], whole
 
 
-def _layers(text: str, most: int) -> Iterator[tuple[str, Up, str, bool]]:
-    """Texts that lie one step below, how their spans lie in ``text``, the step's name, and if data was broken off."""
+def _layers(text: str, most: int) -> Iterator[Below]:
+    """Texts that lie one step below, how their spans lie in ``text``, the step's name, if data was broken off, and the
+    base64 run that they lie in."""
     if "%" in text and (found := _replaced(text, _PERCENT, _percent)):
-        yield *found, "url", False
+        yield *found, "url", False, None
     if ("\\" in text or "&#" in text) and (found := _replaced(text, _ESCAPE, _escape)):
-        yield *found, "unicode", False
+        yield *found, "unicode", False, None
     if _long_word(text, _LONG):
         done = []  # wrapped runs, and whether each is one layer or has compressed data
         for m in _WRAPPED.finditer(text) if "\n" in text else ():
@@ -276,10 +304,10 @@ def _layers(text: str, most: int) -> Iterator[tuple[str, Up, str, bool]]:
 class _Layer:
     """A layer whose inner layers are being unwrapped; ``found`` has the spans of it and of all below, as they lie in it."""
 
-    __slots__ = ("digest", "up", "name", "inner", "found", "lowest")
+    __slots__ = ("text", "digest", "up", "name", "inner", "found", "lowest")
 
     def __init__(self, text: str, most: int, digest: bytes, up: Up | None, name: str, height: int):
-        self.digest, self.up, self.name = digest, up, name
+        self.text, self.digest, self.up, self.name = text, digest, up, name
         self.inner = _layers(text, most)
         self.found = {(k, a, b): Span(k, a, b, 0, "") for k, a, b in matches(text)}
         #: Height of the lowest ancestor that lies in this layer again; what is found then depends on the way here.
@@ -302,6 +330,13 @@ def scan(text: str, most: int = DECODED_CHARS) -> tuple[list[Span], bool]:
     """All spans, sorted by start, kind and end, those of the text itself at depth 0; whether something may be missing.
 
     That is so if ``most`` decoded characters were reached or compressed data breaks off.
+    """
+    found, cut = scan_all(text, most)
+    return [s for s in found if s.kind != CUT], cut
+
+
+def scan_all(text: str, most: int = DECODED_CHARS) -> tuple[list[Span], bool]:
+    """Like ``scan``, with a span of kind ``CUT`` for every run that was not decoded to its end.
 
     A content is unwrapped once; its spans are mapped up from every place where it lies. Only a layer that repeats
     an ancestor is left alone.
@@ -315,6 +350,9 @@ def scan(text: str, most: int = DECODED_CHARS) -> tuple[list[Span], bool]:
         found = None if left <= 0 else next(layer.inner, None)
         if found is None:
             open_layers.pop()
+            if left <= 0:
+                # Some of its runs were not reached any more.
+                layer.found |= {(CUT, *m.span()): Span(CUT, *m.span(), 0, "") for m in _BASE64.finditer(layer.text)}
             if not open_layers:
                 return sorted_spans(root.found), cut or left <= 0
             height = heights.pop(layer.digest)
@@ -324,9 +362,11 @@ def scan(text: str, most: int = DECODED_CHARS) -> tuple[list[Span], bool]:
                 open_layers[-1].lowest = min(open_layers[-1].lowest, layer.lowest)
             open_layers[-1].lift(layer.found, layer.up, layer.name)
             continue
-        new, up, name, broken = found
-        cut = cut or broken
+        new, up, name, broken, run = found
         left -= len(new)
+        cut = cut or broken
+        if run and (broken or left <= 0):
+            layer.found[CUT, *run] = Span(CUT, *run, 0, "")
         digest = _digest(new)
         if digest in known:
             layer.lift(known[digest], up, name)
@@ -338,7 +378,7 @@ def scan(text: str, most: int = DECODED_CHARS) -> tuple[list[Span], bool]:
 
 
 def sorted_spans(found: dict[tuple[str, int, int], Span]) -> list[Span]:
-    return sorted(found.values(), key=lambda s: (s.start, KINDS.index(s.kind), s.end))
+    return sorted(found.values(), key=lambda s: (s.start, (*KINDS, CUT).index(s.kind), s.end))
 
 
 _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("depth", pa.int32()), ("path", pa.string())]))
@@ -364,11 +404,14 @@ def scan_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", mos
     return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, spans {SPANS}, cut boolean")
 
 
-def masked(text: str, mask: str = "[SECRET]") -> str:
-    """The text with every secret, plain or encoded, replaced; overlapping spans become one mask."""
+def masked(text: str, mask: str = "[SECRET]", most: int = DECODED_CHARS) -> str:
+    """The text with every secret, plain or encoded, replaced; overlapping spans become one mask.
+
+    An encoded run that was not decoded to its end may hold secrets nobody has seen, so it is replaced as a whole.
+    """
     parts, at = [], 0
     end = None
-    for span in scan(text)[0]:
+    for span in scan_all(text, most)[0]:
         if end is not None and span.start < end:
             end = max(end, span.end)
             continue
@@ -382,7 +425,8 @@ def masked(text: str, mask: str = "[SECRET]") -> str:
 def mask_documents(docs: DataFrame, text: str = "text", size: str | None = "n_chars", mask: str = "[SECRET]") -> DataFrame:
     """``docs`` with secrets masked in ``text`` and ``size``, if there is such a column, set to the new length.
 
-    Null texts stay null; all other columns pass through.
+    Null texts stay null; all other columns pass through. Texts of any length are read whole; a run of one that decodes
+    to more than ``DECODED_CHARS`` characters, or breaks off, is masked whole, so nothing unseen stays.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
