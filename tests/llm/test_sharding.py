@@ -89,3 +89,23 @@ def test_query_reads_what_was_written(spark, folder):
     found = op6_external_shuffle(spark, folder)
     assert all("shards" in f for f in found.inputFiles())
     assert found.count() == spark.read.parquet(f"{folder}/documents.parquet").count()
+
+
+def test_tables_with_columns_of_the_same_names(odd, none, tmp_path):
+    docs = odd.withColumnRenamed("n_chars", "Slot") if "slot" not in odd.columns else odd
+    docs = docs.withColumnRenamed("lang", "_shard")
+    names = sharding.write_shards(docs, sharding.assign(docs, 3, "rows"), str(tmp_path / "out"))
+    assert names == ("__shard", "_slot")
+    back = sharding.read_shards(docs, str(tmp_path / "out"), names)
+    assert sorted(map(str, back.select(docs.columns).collect())) == sorted(map(str, docs.collect()))
+    assert sorted(r["_slot"] for r in back.where("__shard = 0").collect()) == [0, 1, 2, 3]
+    names = sharding.write_shards(none, sharding.assign(none, 3, "bytes"), str(tmp_path / "none"))
+    assert sharding.read_shards(none, str(tmp_path / "none"), names).count() == 0
+
+
+def test_totals_of_many_buckets_are_joined_without_a_broadcast(spark, monkeypatch):
+    docs = spark.range(500).selectExpr("id AS doc_id", "repeat('x', cast(id AS int)) AS text")
+    places = lambda: sorted((r.doc_id, r.shard, r.slot) for r in sharding.assign(docs, 4, "bytes").collect())
+    few = places()
+    monkeypatch.setattr(sharding, "BROADCAST_BUCKETS", 3)
+    assert places() == few

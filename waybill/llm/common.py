@@ -29,6 +29,14 @@ def keyed_text(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     return df.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, with as many underscores in front as it takes to be none of ``columns`` (in either case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> Iterator[str]:
     """The texts of a batch one after another, without holding all of them as Python strings."""
     return (value.as_py() for value in batch.column(batch.schema.get_field_index(name)))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from waybill.llm import (
     bpe,
@@ -100,16 +99,15 @@ def op8_bottom_k(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_external_shuffle")
 def op6_external_shuffle(spark: SparkSession, folder: str) -> DataFrame:
     docs, path = table(spark, folder, "documents"), shared_dir(spark, "shards")
-    sharding.write_shards(docs, sharding.assign(docs, shards=8, law="rows"), path)
+    names = sharding.write_shards(docs, sharding.assign(docs, shards=8, law="rows"), path)
     text = F.coalesce("text", F.lit(""))
-    schema = StructType([*docs.schema.fields, StructField("shard", IntegerType()), StructField("slot", LongType())])
-    return spark.read.schema(schema).parquet(path).select(
+    return sharding.read_shards(docs, path, names).select(
         "doc_id",
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
         F.lit("rows").alias("law"),
-        "shard",
-        "slot",
+        F.col(names[0]).alias("shard"),
+        F.col(names[1]).alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
     )
 

@@ -13,15 +13,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 from pyspark.sql.window import Window
 
+from waybill.llm.common import free_name
 from waybill.session import materialize
 
 #: Bytes of records a bucket is meant to hold: a task has one in memory.
 BUCKET_BYTES = 32_000_000
 #: Records of a bucket that are sent on together.
 SENT_ROWS = 1_000
+#: Totals of so many buckets (about 100 bytes each) are sent to every task.
+BROADCAST_BUCKETS = 100_000
 #: Buckets at least, so that small tables use the cluster too.
 LEAST_BUCKETS = 32
 
@@ -68,7 +71,9 @@ def shuffled(docs: DataFrame, seed: int = 0, key: str = "doc_id", text: str = "t
     )
     number = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text_crc32", "size", F.monotonically_increasing_id()), F.lit(buckets))
     dealt = source.select("doc_id", "size", "text_crc32", "part", number.alias("bucket"), "record")
-    dealt = dealt.repartition("bucket").sortWithinPartitions("bucket", "doc_id", "text_crc32", "size")
+    # Tasks follow the buckets, so that a task has two of them however large the table is.
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-buckets // 2))
+    dealt = dealt.repartition(tasks, "bucket").sortWithinPartitions("bucket", "doc_id", "text_crc32", "size")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -121,12 +126,15 @@ def _before(totals: DataFrame, columns: list[str]) -> DataFrame:
 def _placed(rows: DataFrame, parts: int) -> DataFrame:
     """``rows`` with ``before_rows``, ``before_size`` and ``before_part``: what lies before the row in the shuffled whole.
 
-    Only the totals of the buckets are summed up and sent to all tasks, so the records stay where they are.
+    Only the totals of the buckets are summed up and, up to ``BROADCAST_BUCKETS`` of them, sent to all tasks, so the
+    records stay where they are. More are joined by a shuffle of the records; buckets are of one size, so none is hot.
     """
     names = [f"part{k}" for k in range(parts)]
     counts = [F.sum((F.col("part") == k).cast("long")).alias(n) for k, n in enumerate(names)]
     totals = rows.groupBy("bucket").agg(F.count("*").alias("rows"), F.sum("size").alias("size"), *counts)
-    joined = rows.join(F.broadcast(_before(totals, ["rows", "size", *names])), "bucket")
+    before = _before(totals, ["rows", "size", *names])
+    few = totals.limit(BROADCAST_BUCKETS + 1).count() <= BROADCAST_BUCKETS
+    joined = rows.join(F.broadcast(before) if few else before, "bucket")
     return joined.withColumns(
         {
             "before_rows": F.col("before_rows") + F.col("at"),
@@ -188,10 +196,21 @@ def assign(docs: DataFrame, shards: int = 8, law: str = "bytes", seed: int = 0,
     )
 
 
-def write_shards(docs: DataFrame, assigned: DataFrame, path: str, key: str = "doc_id") -> None:
+def write_shards(docs: DataFrame, assigned: DataFrame, path: str, key: str = "doc_id") -> tuple[str, str]:
     """Write the records of ``assigned``, made from ``docs``, in shard folders, every file in slot order.
 
-    The records come from the shuffled buckets, so null and repeated keys are kept as they are.
+    The records come from the shuffled buckets, so null and repeated keys are kept as they are. Gives the names of the
+    columns of shard and slot: ``shard`` and ``slot``, with underscores in front where the table has such columns
+    itself. An empty table leaves an empty folder, which ``read_shards`` reads as no rows.
     """
-    records = assigned.select(*[F.col("record")[c].alias(c) for c in docs.columns], "shard", "slot")
-    records.sortWithinPartitions("shard", "slot").write.partitionBy("shard").mode("overwrite").parquet(path)
+    shard, slot = (free_name(docs.columns, c) for c in ("shard", "slot"))
+    records = assigned.select(*[F.col("record")[c].alias(c) for c in docs.columns], F.col("shard").alias(shard), F.col("slot").alias(slot))
+    records.sortWithinPartitions(shard, slot).write.partitionBy(shard).mode("overwrite").parquet(path)
+    return shard, slot
+
+
+def read_shards(docs: DataFrame, path: str, names: tuple[str, str]) -> DataFrame:
+    """What ``write_shards`` wrote of ``docs``: its columns and the two named ones."""
+    shard, slot = names
+    schema = StructType([*docs.schema.fields, StructField(slot, LongType()), StructField(shard, IntegerType())])
+    return docs.sparkSession.read.schema(schema).parquet(path)
