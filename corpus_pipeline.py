@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waybill.llm import near_dups, outliers, packing, secret_scan, toxicity
-from waybill.llm.common import table
+from waybill.llm.common import free_name, table
 from waybill.llm.queries import learned_toxicity
 from waybill.llm.registry import query
 from waybill.session import materialize, prepare
@@ -26,10 +26,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a toxic score go; the model is learned from the labels of the whole table."""
+    """Documents with a toxic score go; the model is learned from the labels of the whole table.
+
+    Null and empty texts have a score too; repeated rows go or stay together. An empty table stays empty.
+    """
     model = learned_toxicity(prepare(spark), sf_dir)
-    scored = toxicity.with_score(docs, model, column="_toxic")
-    return scored.where(F.col("_toxic") < TOXIC).drop("_toxic")
+    score = free_name(docs.columns, "toxic")
+    return toxicity.with_score(docs, model, column=score).where(F.col(score) < TOXIC).drop(score)
 
 
 def near_duplicate_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
