@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import json
-import re
 from xml.parsers import expat
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, LongType, StringType
+from pyspark.sql.types import DataType, StringType
 
 from waybill.functions.charset import CONTROL, trimmed
 
@@ -116,26 +115,22 @@ def _dumps(value: dict) -> str:
     return "".join(out)
 
 
-@F.pandas_udf(LongType())
-def _levels(text: pd.Series) -> pd.Series:
-    def deepest(value: str) -> int:
-        depth = most = 0
-        for found in _BRACKETS.finditer(value):
-            if found[0][0] != '"':
-                depth += 1 if found[0] in "{[" else -1
-                most = max(most, depth)
-        return most
+def _levels(text: Column) -> Column:
+    """How deep the brackets outside of strings nest."""
+    bare = F.regexp_replace(F.regexp_replace(text, r"(?s)\\.", ""), '"[^"]*"', "")
+    brackets = F.split(F.regexp_replace(bare, r"[^\[\]{}]+", ""), "")
 
-    return text.map(deepest, na_action="ignore")
+    def step(state: Column, bracket: Column) -> Column:
+        now = state["now"] + F.when(bracket.isin("{", "["), 1).when(bracket.isin("}", "]"), -1).otherwise(0)
+        return F.struct(now.alias("now"), F.greatest(state["most"], now).alias("most"))
 
-
-_BRACKETS = re.compile(r'"(?:[^"\\]|\\.)*"|[{}\[\]]', re.DOTALL)
+    return F.aggregate(brackets, F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")), step)["most"]
 
 
 def too_deep(text: Column) -> Column:
     """Whether JSON text nests deeper than a VARIANT may. Only text with so many brackets is looked through."""
     many = F.length(text) - F.length(F.translate(text, "{[", "")) > MOST_LEVELS
-    return F.coalesce(_levels(F.when(many, text)) > MOST_LEVELS, F.lit(False))
+    return F.coalesce(F.when(many, _levels(text) > MOST_LEVELS), F.lit(False))
 
 
 def variant_of_json(text: Column) -> Column:

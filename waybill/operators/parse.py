@@ -19,13 +19,15 @@ class Parser:
     """One payload parser: ``accepts(format, payload)`` says which messages are meant for it, ``read`` gives
     the VARIANT of the payload, null where it cannot be read. Values are only read from rows the parser
     is tried on: ``read`` gets their text, bytes and charset id, and nulls elsewhere. ``beyond`` says of such a text
-    that could not be read that it is of this format all the same, so that no later parser may take it."""
+    that could not be read that it is of this format all the same, so that no later parser may take it. With ``form``
+    both get what that makes of the text, which is worked out once."""
 
     name: str
     accepts: Callable[[Column, Column], Column]
     read: Callable[[Column, Column, Column], Column]
     error: str
     beyond: Callable[[Column], Column] | None = None
+    form: Callable[[Column], Column] | None = None
 
 
 # What a VARIANT holds, less its own header.
@@ -46,9 +48,10 @@ JSON = Parser(
 XML = Parser(
     "XML",
     formats.can_parse_xml,
-    lambda text, payload, ccsid: variant_of_json(xml_json(text)),
+    lambda json, payload, ccsid: variant_of_json(json),
     "XML parse error: document is not well-formed",
-    lambda text: xml_json(text).isNotNull(),
+    lambda json: json.isNotNull(),
+    xml_json,
 )
 TEXT = Parser(
     "TEXT",
@@ -89,10 +92,13 @@ def parse_payloads(
     for p in parsers:
         tried = (F.col(f"_try_{p.name}") | F.col("_nobody")) & ~done
         text, payload = F.when(tried, F.col("_text")), F.when(tried, F.col("payload"))
+        if p.form is not None:
+            df = df.withColumn(f"_form_{p.name}", p.form(text))
+            text = F.col(f"_form_{p.name}")
         df = df.withColumn(f"_value_{p.name}", F.when(tried, p.read(text, payload, F.col("ccsid"))))
         read = F.col(f"_value_{p.name}").isNotNull()
         if p.beyond is not None:
-            unread = F.when(tried & ~read, F.col("_text"))
+            unread = F.when(tried & ~read, text)
             df = df.withColumn(f"_beyond_{p.name}", F.coalesce(p.beyond(unread), F.lit(False)))
             read = read | F.col(f"_beyond_{p.name}")
         done = done | read
@@ -117,6 +123,7 @@ def parse_payloads(
     )
     helpers = ["_text", "_nobody", *[f"_try_{n}" for n in names], *[f"_value_{n}" for n in names]]
     helpers += [f"_beyond_{p.name}" for p in parsers if p.beyond is not None]
+    helpers += [f"_form_{p.name}" for p in parsers if p.form is not None]
     return df.withColumn("parsed", result).drop(*helpers)
 
 
