@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import time
 import uuid
 
 from pyspark import cloudpickle
@@ -73,3 +74,22 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     path = shared_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def expire(spark: SparkSession, older_than_hours: float) -> int:
+    """Delete the working folders below ``spark.checkpoint.dir`` that were last written to so long ago; how many.
+
+    Results that are still read from them (a claim, a materialized step) must be younger.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        return 0
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/waybill")
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return 0
+    oldest = time.time() * 1000 - older_than_hours * 3_600_000
+    old = [s.getPath() for s in files.listStatus(root) if s.getModificationTime() < oldest]
+    for path in old:
+        files.delete(path, True)
+    return len(old)
