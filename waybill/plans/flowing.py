@@ -73,12 +73,11 @@ _COMMANDS = """WITH c AS (SELECT user_id AS conn, event_id AS seq, epoch_us(ts)
   SELECT *, lag(state, 1, 'Running') OVER (PARTITION BY conn ORDER BY pos) AS before FROM line)"""
 
 
-@query(
-    "state_timeline",
-    _COMMANDS
-    + """SELECT conn AS "connectorId", seq, cmd AS command, before AS "stateBefore", state, state <> before AS changed,
-    coalesce(pos >= flag, false) AS "stopRequested" FROM timeline""",
-)
+STATES = _COMMANDS + """SELECT conn AS "connectorId", seq, cmd AS command, before AS "stateBefore", state,
+    state <> before AS changed, coalesce(pos >= flag, false) AS "stopRequested" FROM timeline"""
+
+
+@query("state_timeline", STATES)
 def state_timeline(spark, folder):
     return control.state_timeline(views.commands(spark, folder)).drop("ts")
 

@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from waybill.operators import audit, checkpoints, delivery
 from waybill.plans import views
-from waybill.plans.flowing import _SHOWN, REFILLED, TOKENS
+from waybill.plans.flowing import _SHOWN, REFILLED, STATES, TOKENS
 from waybill.plans.registry import query
 from waybill.session import shared_dir
 from waybill.sources import envelopes, landed
 from waybill.sources.messages import TABLE_SCHEMA, stream_files
-from waybill.streaming import atomic, drain, fanout, ingest, stateful
+from waybill.streaming import atomic, drain, fanout, ingest, stateful, states
 
 
 def _event_stream(spark, folder):
@@ -103,6 +103,16 @@ def stream_published(spark, folder):
     return views.flat(out.union(log).union(saved))
 
 
+@query("stream_states", STATES)
+def stream_states(spark, folder):
+    """Connector states from the state store; the last command moves the watermark past all others."""
+    path = shared_dir(spark, "states")
+    kind = envelopes.table(spark, folder, "events").schema
+    fed = views.commands_of(stream_files(spark, folder, kind, glob="events.parquet"))
+    ingest.run_to_end(drain.write_drains(states.state_stream(fed, "0 seconds"), f"{path}/out", f"{path}/checkpoint"))
+    return spark.read.schema(states.OUTPUT).parquet(f"{path}/out").drop("ms")
+
+
 @query(
     "stream_drain",
     views.E

@@ -124,6 +124,10 @@ def connections(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def commands(spark: SparkSession, folder: str) -> DataFrame:
+    return commands_of(table(spark, folder, "events"))
+
+
+def commands_of(rows: DataFrame) -> DataFrame:
     """Each user's events as commands to a connector of that number."""
     value, kind = F.col("value"), F.col("event_type")
     command = (
@@ -134,7 +138,7 @@ def commands(spark: SparkSession, folder: str) -> DataFrame:
         .when(kind.isin("view", "click"), "RESUME")
         .otherwise("REQUEST_STOP")
     )
-    return table(spark, folder, "events").select(
+    return rows.select(
         F.col("user_id").alias("connectorId"), F.col("event_id").alias("seq"),
         F.timestamp_millis(F.unix_millis(F.col("ts").cast("timestamp"))).alias("ts"), command.alias("command"),
     )
