@@ -12,6 +12,7 @@ from waybill.session import shared_dir
 from waybill.sources import envelopes, landed
 from waybill.sources.messages import TABLE_SCHEMA, stream_files
 from waybill.streaming import atomic, drain, fanout, ingest, stateful, states
+from waybill.streaming.seen import Seen, deduplicate_each_batch
 
 
 def _event_stream(spark, folder):
@@ -103,6 +104,22 @@ def stream_published(spark, folder):
     return views.flat(out.union(log).union(saved))
 
 
+@query(
+    "stream_seen",
+    views.E + """SELECT q AS "queueName", id AS "messageIdHex", body AS "payloadString" FROM e""",
+)
+def stream_seen(spark, folder):
+    """Events that all come again in a later micro-batch, each kept once without a bound on a copy's age."""
+    path = shared_dir(spark, "seen")
+    events = views.events(spark, folder).select("queueName", "messageIdHex", "payloadString", "timestamp")
+    for part in (0, 1):
+        events.write.parquet(f"{path}/in/part={part}")
+    fed = stream_files(spark, f"{path}/in/*", events.schema, max_files=1)
+    kept = Seen(f"{path}/ids", buckets=8)
+    ingest.run_to_end(deduplicate_each_batch(fed, ingest.write_batch(f"{path}/out"), kept, f"{path}/checkpoint"))
+    return spark.read.schema(events.schema).parquet(f"{path}/out/*").drop("timestamp")
+
+
 @query("stream_states", STATES)
 def stream_states(spark, folder):
     """Connector states from the state store; the last command moves the watermark past all others."""
