@@ -58,7 +58,7 @@ def leases(spark: SparkSession, root: str, now_ms: int) -> DataFrame:
 
 
 def _state(entries: DataFrame, now_ms: int) -> DataFrame:
-    told = entries.agg(F.coalesce(F.max("at"), F.lit(0)).alias("_told"))
+    told = entries.agg(F.max("at")).first()[0] or 0
     ended = F.min(F.when(F.col("kind").isin("COMMIT", "ROLLBACK"), F.struct("version", "kind")))
     claims = entries.groupBy("fence").agg(
         F.max(F.when(F.col("kind") == "CLAIM", F.col("owner"))).alias("owner"),
@@ -66,9 +66,9 @@ def _state(entries: DataFrame, now_ms: int) -> DataFrame:
         F.max("until").alias("until"),
         ended["kind"].alias("_ended"),
     )
-    late = F.col("until") <= F.greatest(F.lit(now_ms), F.col("_told"))
+    late = F.col("until") <= max(now_ms, told)
     outcome = F.coalesce(F.col("_ended"), F.when(late, "EXPIRED").otherwise("HELD"))
-    return claims.crossJoin(F.broadcast(told)).withColumn("outcome", outcome).drop("_told", "_ended")
+    return claims.withColumn("outcome", outcome).drop("_ended")
 
 
 def lease_log(spark: SparkSession, root: str, now_ms: int) -> DataFrame:
