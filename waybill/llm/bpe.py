@@ -3,13 +3,17 @@
 A text falls into pieces before each single space; only pieces not seen before in the task are encoded,
 all those of a batch together: their symbols lie in one flat array, every round looks the keys of adjacent
 pairs up in the sorted merge keys by binary search and applies each word's lowest-ranked pair, until no
-word has a pair left.
+word has a pair left. Long words would need about as many rounds as they have symbols; theirs are linked
+lists in the same flat array, and a round takes up the places of the lowest rank alone, so that the time
+follows their length.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,8 +22,10 @@ from pyspark.sql import DataFrame
 
 from waybill.llm.common import keyed_text, texts_of, tokenizer_path
 
-#: Entries of the per-task piece cache; a full cache starts anew.
-CACHE_PIECES = 400_000
+#: Bytes of the per-task piece cache, with what Python needs for an entry; a full cache starts anew.
+CACHE_BYTES, ENTRY_BYTES = 100_000_000, 220
+#: Words of more bytes are merged rank by rank.
+LONG_WORD = 128
 #: Unicode White_Space, as the tokenizer's pattern understands \s.
 _SPACE = r"\t-\r \x85\xa0  -     　"
 #: The pre-token pattern of byte-level BPE.
@@ -69,9 +75,78 @@ class Codec:
         #: Ids of pieces that follow a space (without it), and of pieces as they stand.
         self.spaced: dict[str, bytes] = {}
         self.plain: dict[str, bytes] = {}
+        self.held = 0
+
+    def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair of symbols, the largest number if it has none."""
+        pair = (left << 32) | right
+        at = np.minimum(np.searchsorted(self.keys, pair), len(self.keys) - 1)
+        return np.where(self.keys[at] == pair, self.ranks[at], _NONE)
 
     def merge(self, words: list[bytes]) -> list[bytes]:
         """The ids of each word (not empty) as little-endian 32-bit numbers."""
+        long = [k for k, w in enumerate(words) if len(w) > LONG_WORD]
+        if not long:
+            return self.merge_short(words)
+        ids: list[bytes] = [b""] * len(words)
+        for k, found in zip(long, self.merge_long([words[k] for k in long]), strict=True):
+            ids[k] = found
+        short = [k for k, w in enumerate(words) if len(w) <= LONG_WORD]
+        if short:
+            for k, found in zip(short, self.merge_short([words[k] for k in short]), strict=True):
+                ids[k] = found
+        return ids
+
+    def merge_long(self, words: list[bytes]) -> list[bytes]:
+        """As ``merge_short``: a merge looks up its two new pairs only, and places wait under their ranks."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        ends = np.cumsum(sizes)
+        symbols = np.append(self.byte_id[np.frombuffer(b"".join(words), np.uint8)], 0)
+        n = len(symbols) - 1
+        after, before = np.arange(1, n + 2), np.arange(-1, n)
+        after[ends - 1], before[ends - sizes] = n, n  # the place n stands for a word's border
+        before = np.append(before, n)
+        rank = np.full(n + 1, _NONE, np.int32)
+        waiting: dict[int, array] = {}
+        lowest: list[int] = []
+
+        def look_up(places: np.ndarray) -> None:
+            right = after[places]
+            rank[places] = np.where(right < n, self.pair_ranks(symbols[places], symbols[right]), _NONE)
+            places = places[rank[places] != _NONE]
+            places = places[np.argsort(rank[places], kind="stable")]
+            own = rank[places]
+            begins = np.flatnonzero(np.append(len(own) > 0, own[1:] != own[:-1])).tolist()
+            for a, b in zip(begins, [*begins[1:], len(own)]):
+                r = int(own[a])
+                if r not in waiting:
+                    waiting[r] = array("q")
+                    heapq.heappush(lowest, r)
+                waiting[r].frombytes(places[a:b].tobytes())
+
+        look_up(np.arange(n))
+        while lowest:
+            r = heapq.heappop(lowest)
+            spots = np.unique(np.frombuffer(waiting.pop(r), np.int64))
+            spots = spots[rank[spots] == r]
+            if not len(spots):
+                continue
+            spots = _every_second(spots, after[spots[:-1]] == spots[1:])
+            gone = after[spots]
+            symbols[spots], rank[gone] = self.merged[r], _NONE
+            after[spots] = after[gone]
+            before[after[spots]] = spots
+            left = before[spots]
+            look_up(np.unique(np.concatenate([spots, left[left < n]])))
+            before[n] = n
+            before[gone] = -1
+        alive = before[:n] >= 0
+        flat = symbols[:n][alive].astype(np.int32).tobytes()
+        stops = (4 * np.cumsum(alive)[ends - 1]).tolist()
+        return [flat[a:b] for a, b in zip([0, *stops], stops)]
+
+    def merge_short(self, words: list[bytes]) -> list[bytes]:
+        """The ids of words, all merged together; every round applies the lowest-ranked pair of each."""
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         symbols = self.byte_id[np.frombuffer(b"".join(words), np.uint8)]
         word = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
@@ -83,19 +158,13 @@ class Codec:
             starts = np.flatnonzero(first)
             rank = np.full(len(symbols), _NONE, np.int32)
             inner = np.flatnonzero(~first[1:])  # positions with a right neighbour in the word
-            pair = (symbols[inner] << 32) | symbols[inner + 1]
-            at = np.minimum(np.searchsorted(self.keys, pair), len(self.keys) - 1)
-            rank[inner] = np.where(self.keys[at] == pair, self.ranks[at], _NONE)
+            rank[inner] = self.pair_ranks(symbols[inner], symbols[inner + 1])
             lowest = np.minimum.reduceat(rank, starts)
             of = np.cumsum(first) - 1
             over = (lowest == _NONE)[of]
             hit = (rank == lowest[of]) & ~over
             spots = np.flatnonzero(hit)
-            if len(spots) > 1 and (np.diff(spots) == 1).any():
-                # Of a run of hits ("aaaa") every second one counts, from the left.
-                begins = np.append(True, np.diff(spots) != 1)
-                run = np.maximum.accumulate(np.where(begins, np.arange(len(spots)), 0))
-                spots = spots[(np.arange(len(spots)) - run) % 2 == 0]
+            spots = _every_second(spots, np.diff(spots) == 1)
             symbols[spots] = self.merged[rank[spots]]
             ended_words.append(word[over])
             ended_symbols.append(symbols[over].astype(np.int32))
@@ -122,6 +191,7 @@ class Codec:
         ids = dict(zip(words, self.merge([w.encode() for w in words]), strict=True)) if words else {}
         for piece, parts in cut.items():
             known[piece] = ids[parts[0]] if len(parts) == 1 else b"".join([ids[w] for w in parts])
+            self.held += ENTRY_BYTES + len(piece) + len(known[piece])
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit numbers."""
@@ -136,9 +206,10 @@ class Codec:
                 if known is not self.marks:
                     (spaced if known is self.spaced else plain).update(pieces)
             plans.append(plan)
-        if len(self.spaced) + len(self.plain) > CACHE_PIECES:
+        if self.held > CACHE_BYTES:
             self.spaced.clear()
             self.plain.clear()
+            self.held = 0
         self.learn(spaced, self.spaced, " ")
         self.learn(plain, self.plain, "")
         return [b"".join([x for known, pieces in plan for x in map(known.__getitem__, pieces)]) for plan in plans]
@@ -156,11 +227,20 @@ class Codec:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
+def _every_second(spots: np.ndarray, joined: np.ndarray) -> np.ndarray:
+    """Of a run of hits that overlap ("aaaa") every second one, from the left; ``joined``: a hit and the next overlap."""
+    if not joined.any():
+        return spots
+    at = np.arange(len(spots))
+    run = np.maximum.accumulate(np.where(np.append(True, ~joined), at, 0))
+    return spots[(at - run) % 2 == 0]
+
+
 def encode(docs: DataFrame, path: str | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, ids array<int>`` of every row; a null text is the empty one and has no ids.
 
     ``path`` names a byte-level BPE tokenizer file, read on the executors. Added tokens in a text get their own id.
-    Repeated rows each give a row; no shuffle, memory of a task is a batch and the piece cache.
+    Repeated rows each give a row; no shuffle, memory of a task is a batch and the piece cache (``CACHE_BYTES``).
     """
     place = path or tokenizer_path("byte_bpe_50k.json")
 
