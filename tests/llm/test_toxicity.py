@@ -1,4 +1,8 @@
+import math
 import random
+import re
+
+import pytest
 
 from tests.llm.conftest import ODD
 from waybill.llm import toxicity as tox
@@ -8,6 +12,53 @@ def test_folding():
     assert tox.fold("1D10T іdіоt IDI​OT ｉｄｉｏｔ $cum a$$") == "idiot idiot idiot idiot scum a$$"
 
 
+@pytest.mark.parametrize(
+    "disguised",
+    ["ídíot", "𝐢𝐝𝐢𝐨𝐭", "ⓘⓓⓘⓞⓣ", "i.d.i.o.t", "I-D-I-O-T", "idiooot", "|diot", "ιԁіοτ", "Ꭵժ1օᎢ", "id\u00adiot", "i\u0301diot"],
+)
+def test_disguises_are_folded(disguised):
+    assert tox.fold(f"an {disguised} indeed") == "an idiot indeed"
+
+
+def test_folding_leaves_words_alone():
+    plain = "a well-known e.g. of the U.S. rule, so cool: a-b and book-keeping | or"
+    assert tox.fold(plain) == plain.lower()
+    assert tox.fold("straße naïve Привет") == tox.fold(tox.fold("straße naïve Привет"))
+
+
+def test_neighbours_are_whole_words():
+    far = "x" * 200
+    ((_, before, after),) = tox.Matcher({"idiot": 1.0}, frozenset()).hits(tox.fold(f"a{far}b idiot  c{far[:1]}y"))
+    assert before.endswith(" idiot") and after == "idiot cxy"
+    long = "ab" * 100
+    ((_, before, after),) = tox.Matcher({"idiot": 1.0}, frozenset()).hits(f"{long} idiot {'-' * 100} {long}")
+    assert before == f"{long} idiot" and after == f"idiot {long}"
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_matches_equal_a_naive_search(seed):
+    draw = random.Random(seed)
+    word = lambda: "".join(draw.choice("abc") for _ in range(draw.randrange(1, 7)))
+    weights = {w + draw.choice(["", "*"]): round(draw.random() * 4, 3) for w in (word() for _ in range(12))}
+    texts = [draw.choice([" ", ", ", "-", "  "]).join(word() for _ in range(30)) for _ in range(60)]
+    exceptions = frozenset(" ".join(p) for t in texts[:10] for p in zip(t.split(), t.split()[1:]) if all(x.isalpha() for x in p))
+    matcher = tox.Matcher(weights, exceptions)
+    for text in texts:
+        folded, total = tox.fold(text), 0.0
+        words = re.findall(r"[^\W_]+", folded)
+        for k, own in enumerate(words):
+            fits = [t for t in weights if own == t or (t.endswith("*") and own.startswith(t[:-1]))]
+            if not fits:
+                continue
+            longest = max(fits, key=lambda t: (len(t.rstrip("*")), not t.endswith("*")))
+            around = {" ".join(words[max(0, k - 1) : k + 1]), " ".join(words[k : k + 2])}
+            if not around & exceptions:
+                total += weights[longest]
+        got = matcher.features(text)
+        assert got[0] == pytest.approx(math.log1p(total))
+        assert got[1] == pytest.approx(math.log1p(100 * total / (folded.count(" ") + 1)))
+
+
 def test_matching_and_exceptions():
     matcher = tox.Matcher({"idiot": 3.0, "lowe*": 2.0, "lower": 4.0}, frozenset({"useful idiot"}))
     weights = lambda t: [w for w, *_ in matcher.hits(tox.fold(t))]

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -29,26 +30,41 @@ CLASS_ROWS = 8_000
 LEAST_ROWS, LEAST_SHARE, LEAST_RATIO, LEAST_G = 3, 0.002, 8.0, 16.0
 #: Beginnings of words count as terms from this length on.
 STEM = 4
-#: Letters that look like Latin ones, and digits that stand for letters.
+#: Letters that look like Latin ones, by Latin letter: Greek, Cyrillic, Armenian, Cherokee, Latin variants.
 _LOOKS = {
-    "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "х": "x", "у": "y", "і": "i", "ј": "j", "ѕ": "s", "ԁ": "d", "һ": "h",
-    "к": "k", "м": "m", "т": "t", "в": "b", "н": "h", "ӏ": "l", "ԛ": "q", "ԝ": "w", "α": "a", "ε": "e", "ο": "o", "ρ": "p",
-    "χ": "x", "υ": "u", "ι": "i", "κ": "k", "ν": "v", "τ": "t", "ı": "i", "ɡ": "g", "ℓ": "l",
+    "a": "αа", "b": "βвьЬᏏ", "c": "сϲᏟ", "d": "ԁժᎠᏧ", "e": "εеєҽᎬ", "f": "ϝքғ", "g": "ɡցᏀ", "h": "һнհᎻᏂ", "i": "ιіıɩᎥ",
+    "j": "јϳյᎫ", "k": "κкᏦ", "l": "ӏℓլᏞ", "m": "мᎷ", "n": "νпոռ", "o": "οоօσ", "p": "ρрᏢ", "q": "ԛզգ", "r": "гᎡᏒ",
+    "s": "ѕտᏚ", "t": "τтᎢ", "u": "υսцʋ", "v": "ѵᏙ", "w": "ωԝшաᎳ", "x": "χхҳ", "y": "уγүʏᎩ", "z": "ζʐᏃ",
 }
+#: Digits and letters without a decomposition that stand for letters.
 _DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g"}
-_WIDE = {chr(0xFF21 + k): chr(97 + k % 32) for k in [*range(26), *range(32, 58)]}
+_BARRED = {"ł": "l", "ø": "o", "đ": "d", "ħ": "h", "ŧ": "t", "ƀ": "b", "ɨ": "i"}
 _HIDDEN = dict.fromkeys("­​‌‍⁠﻿", "")
-_FOLD = str.maketrans(_LOOKS | _DIGITS | _WIDE | _HIDDEN)
-_SIGNS = re.compile(r"(?:[$@](?=\w)|(?<=[^\W\d_])!(?=[^\W\d_]))")
+_FOLD = str.maketrans({x.lower(): k for k, v in _LOOKS.items() for x in v} | _DIGITS | _BARRED | _HIDDEN)
+_SIGNS = re.compile(r"(?:[$@|](?=\w)|(?<=[^\W\d_])!(?=[^\W\d_]))")
+_SIGN_LETTERS = {"$": "s", "@": "a", "!": "i", "|": "i"}
+_MARKS = re.compile("[\u0300-\u036f]+")
+_APART = re.compile(r"(?<!\w)[^\W_](?:[.\-_*·][^\W_]){2,}(?!\w)")
+_BETWEEN = re.compile(r"[.\-_*·]")
+_REPEATS = re.compile(r"([^\W_])\1{2,}")
 _WORD = re.compile(r"[^\W_]+")
 
 
 def fold(text: str) -> str:
-    """Lower case without disguise; a sign counts as a letter only before another one."""
-    text = text.lower().translate(_FOLD)
-    if "$" in text or "@" in text or "!" in text:
-        text = _SIGNS.sub(lambda m: {"$": "s", "@": "a", "!": "i"}[m[0]], text)
-    return text
+    """Lower case without disguise.
+
+    Compatibility forms (mathematical, circled, wide letters) and accents go by decomposition, look-alikes and digits
+    by tables; a sign counts as a letter only before another one; three or more single letters with marks between them
+    are a word; of three or more equal letters in a row one stays.
+    """
+    text = text.lower()
+    if not text.isascii():
+        text = _MARKS.sub("", unicodedata.normalize("NFKD", text)).lower()
+    text = text.translate(_FOLD)
+    if any(sign in text for sign in _SIGN_LETTERS):
+        text = _SIGNS.sub(lambda m: _SIGN_LETTERS[m[0]], text)
+    text = _APART.sub(lambda m: _BETWEEN.sub("", m[0]), text)
+    return _REPEATS.sub(r"\1", text)
 
 
 class Model(NamedTuple):
@@ -59,6 +75,16 @@ class Model(NamedTuple):
     coefficients: tuple[float, float, float]
 
 
+def _word_before(text: str, start: int) -> str:
+    end = start
+    while end and not text[end - 1].isalnum():
+        end -= 1
+    begin = end
+    while begin and text[begin - 1].isalnum():
+        begin -= 1
+    return text[begin:end]
+
+
 class Matcher:
     def __init__(self, weights: dict[str, float], exceptions: frozenset[str]):
         import ahocorasick
@@ -86,9 +112,8 @@ class Matcher:
                 best[start] = weight  # longer terms come later
         for start, weight in best.items():
             own = _WORD.match(folded, start)[0]
-            before = _WORD.findall(folded[max(0, start - 60) : start])[-1:]
-            after = _WORD.findall(folded[start + len(own) : start + len(own) + 60])[:1]
-            yield weight, " ".join([*before, own]), " ".join([own, *after])
+            before, after = _word_before(folded, start), _WORD.search(folded, start + len(own))
+            yield weight, f"{before} {own}" if before else own, f"{own} {after[0]}" if after else own
 
     def features(self, text: str) -> tuple[float, float]:
         """Log of the summed weights, alone and for each hundred words."""
