@@ -83,3 +83,30 @@ def test_posterior_bounds():
 def test_long_chain(spark):
     chain = spark.createDataFrame([(k + d, 10_000 + k) for k in range(60) for d in (0, 1)], "node bigint, hub bigint")
     assert {r.label for r in components(chain).collect()} == {0}
+
+
+def test_one_of_each_row(make, odd, none):
+    base = " ".join(f"w{k}" for k in range(60))
+    other = " ".join(f"v{k}" for k in range(60))
+    third = " ".join(f"u{k}" for k in range(60))
+    rows = [
+        (5, base, "en", "a", 0),
+        (2, f"{base} more", "en", "a", 0),  # near the row before, and its key is smaller
+        (2, other, "en", "a", 0),  # repeats a key with a text of its own
+        (5, third, "en", "a", 0),
+        (7, third, "en", "a", 0),
+        (None, f"{third} end", "en", "a", 0),
+        (8, other, "en", "a", 0),
+        (8, other, "en", "a", 0),
+        (9, None, "en", "a", 0),
+        (9, "", "en", "a", 0),
+        (None, " ".join(f"t{k}" for k in range(30)), "en", "a", 0),
+    ]
+    docs = make(rows)
+    kept = near_dups.one_of_each(docs)
+    assert kept.columns == docs.columns
+    got = sorted((str(r.doc_id), (r.text or "")[:2]) for r in kept.collect())
+    assert got == sorted([("2", "w0"), ("2", "v0"), ("5", "u0"), ("9", ""), ("9", ""), ("None", "t0")])
+    # Of the odd rows only the copies of one text go, whatever their keys.
+    assert near_dups.one_of_each(odd).count() == odd.count() - 3
+    assert near_dups.one_of_each(none).collect() == []

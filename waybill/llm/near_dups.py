@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waybill.llm.bpe import sliced
-from waybill.llm.common import keyed_text
+from waybill.llm.common import free_name, keyed_text
 from waybill.llm.components import components
 from waybill.session import materialize
 
@@ -260,3 +260,19 @@ def representatives(docs: DataFrame, found: DataFrame, key: str = "doc_id") -> D
     kept = docs.join(lost, key, "left_anti")
     repeated = kept.join(again, key, "left_semi").dropDuplicates([key])
     return kept.join(again, key, "left_anti").unionByName(repeated)
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **options: int) -> DataFrame:
+    """``docs`` with one row for each component of near-duplicates, told row by row; ``options`` as in ``near_duplicates``.
+
+    The row with the smallest key stays (null keys come last; of rows that repeat it, one). A repeated key is no link:
+    rows that share one but differ in their texts stay, or go, by themselves. Rows without words all stay; an empty
+    table stays empty. Rows are numbered and written once, so a task that runs again finds the same numbers.
+    """
+    name = free_name(docs.columns, "row")
+    rows = materialize(docs.withColumn(name, F.monotonically_increasing_id()), "rows")
+    found = near_duplicates(rows, key=name, text=text, **options).select(F.col("doc_id").alias("node"), "component_id")
+    keys = rows.select(F.col(name).alias("node"), F.col(key).alias("own"))
+    first = F.min(F.struct(F.col("own").isNull().alias("last"), "own", "node"))["node"]
+    kept = materialize(found.join(keys, "node").groupBy("component_id").agg(first.alias(name)).select(name), "kept")
+    return rows.join(kept, name, "left_semi").select(docs.columns)
