@@ -1,5 +1,7 @@
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as pipeline
 from waybill.llm import near_dups, outliers, secret_scan, toxicity
 from waybill.llm.queries import learned_toxicity
@@ -27,6 +29,17 @@ def test_stages_take_effect(spark, folder):
     assert set(pieces) == kept
 
 
+def test_repeated_keys_are_judged_by_their_texts(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").withColumn("mark", F.lit(1))
+    kept = {r.doc_id for r in pipeline.quality_rules(spark, docs, folder).collect()}
+    again = docs.withColumn("text", F.lit("far too short"))
+    keyless = docs.limit(3).withColumn("doc_id", F.lit(None).cast("long")).withColumn("text", F.lit(None).cast("string"))
+    found = pipeline.quality_rules(spark, docs.unionByName(again).unionByName(keyless), folder)
+    assert found.columns == docs.columns
+    assert sorted(r.doc_id for r in found.collect()) == sorted(kept)
+    assert found.where("text = 'far too short'").count() == 0
+
+
 def test_whole_run(spark, folder):
     assert pipeline.run(spark, folder).count() > 0 and pipeline.ORACLE_SQL is None
 
