@@ -127,7 +127,7 @@ def stream_states(spark, folder):
     kind = envelopes.table(spark, folder, "events").schema
     fed = views.commands_of(stream_files(spark, folder, kind, glob="events.parquet"))
     ingest.run_to_end(drain.write_drains(states.state_stream(fed, "0 seconds"), f"{path}/out", f"{path}/checkpoint"))
-    return spark.read.schema(states.OUTPUT).parquet(f"{path}/out").drop("ms")
+    return spark.read.schema(states.OUTPUT).parquet(f"{path}/out/*").drop("ms")
 
 
 @query(
@@ -149,7 +149,7 @@ def stream_drain(spark, folder):
     path = shared_dir(spark, "drain")
     results = drain.drain_results(views.drain_log(_event_stream(spark, folder)), "0 seconds")
     ingest.run_to_end(drain.write_drains(results, f"{path}/out", f"{path}/checkpoint"))
-    return spark.read.schema(drain.OUTPUT).parquet(f"{path}/out").drop("inFlight")
+    return spark.read.schema(drain.OUTPUT).parquet(f"{path}/out/*").drop("inFlight")
 
 
 @query(
