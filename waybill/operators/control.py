@@ -18,27 +18,32 @@ def state_timeline(commands: DataFrame) -> DataFrame:
     ever folds a whole connector.
     """
     timed = commands.withColumn("_ms", F.unix_millis("ts"))
-    here = F.struct("_ms", "seq")
+    return timeline(timed, "connectorId", ["_ms", "seq"]).drop("_ms")
+
+
+def timeline(commands: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """``state_timeline`` of the connectors named by ``key``, which is never null, with the commands in ``order``."""
+    here = F.struct(*order)
     command = F.col("command")
-    begins = timed.groupBy("connectorId").agg(
+    begins = commands.groupBy(key).agg(
         F.min(F.when(command == "DRAIN", here)).alias("_drain"),
         F.min(F.when(command == "GRACEFUL_STOP", here)).alias("_graceful"),
         F.min(F.when(command.isin("REQUEST_STOP", "GRACEFUL_STOP"), here)).alias("_asked"),
     )
-    completions = timed.filter(command == "COMPLETE_DRAIN").select("connectorId", "_ms", "seq")
+    completions = commands.filter(command == "COMPLETE_DRAIN").select(key, *order)
     completed = (
-        salted_join(completions, begins.select("connectorId", "_drain"), ["connectorId"])
+        salted_join(completions, begins.select(key, "_drain"), [key])
         .filter(here > F.col("_drain"))
-        .groupBy("connectorId")
+        .groupBy(key)
         .agg(F.min(here).alias("_complete"))
     )
     bounds = (
-        begins.join(completed, "connectorId", "left")
+        begins.join(completed, key, "left")
         .withColumn("_stop", F.least("_graceful", "_complete"))
-        .select("connectorId", "_drain", "_stop", "_asked")
+        .select(key, "_drain", "_stop", "_asked")
     )
     switch = F.when(command.isin("PAUSE", "RESUME"), command)
-    rows = previous_value(timed, "connectorId", ["_ms", "seq"], switch, "_switch", per_key=bounds)
+    rows = previous_value(commands, key, order, switch, "_switch", per_key=bounds)
     before = (
         F.when(here > F.col("_stop"), "Stopped")
         .when(here > F.col("_drain"), "Draining")
@@ -57,7 +62,7 @@ def state_timeline(commands: DataFrame) -> DataFrame:
         .withColumn("state", after)
         .withColumn("changed", F.col("state") != F.col("stateBefore"))
         .withColumn("stopRequested", F.coalesce(here >= F.col("_asked"), F.lit(False)))
-        .drop("_ms", "_switch", "_drain", "_stop", "_asked")
+        .drop("_switch", "_drain", "_stop", "_asked")
     )
 
 
