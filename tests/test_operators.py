@@ -299,6 +299,25 @@ def test_offload_is_lossless(spark, messages):
         assert sorted(bytes(r["payload"]) for r in back.collect()) == sorted(bytes(r["payload"]) for r in part.collect())
 
 
+def test_rows_without_a_reference_do_not_meet_in_one_task(spark, messages):
+    path = shared_dir(spark, "test-off")
+    df = messages(*[{"payload": b"a" * (500 if i % 10 == 0 else 50)} for i in range(80)])
+    planned = offload.plan_offload(df, sizes.SizeProfile(1000, 100, True, 200), path)
+    offload.write_offloaded(planned, path, 0)
+    # As for tables that are not small.
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        back = offload.restore(offload.slim(planned), offload.read_offloaded(spark, path))
+        tasks = back.where("payloadRef IS NULL").groupBy(F.spark_partition_id()).count().collect()
+        assert sorted(bytes(r["payload"]) for r in back.collect()) == sorted(bytes(r["payload"]) for r in df.collect())
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert sum(r["count"] for r in tasks) == 72 and max(r["count"] for r in tasks) < 40
+
+
 def test_routed_batches_stay(spark, messages):
     path = shared_dir(spark, "test-routed")
     for batch_id, text in ((0, "first"), (1, "second"), (1, "second")):

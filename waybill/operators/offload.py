@@ -47,14 +47,16 @@ def restore(slimmed: DataFrame, store: DataFrame) -> DataFrame:
     """``slimmed`` with the payloads its ``payloadRef`` names, from the rows of ``read_offloaded``.
 
     Only the payloads that are asked for are read into the join; equal ones stored more than once count once.
-    A reference that the store doesn't have leaves the payload null.
+    A reference that the store doesn't have leaves the payload null. Rows without a reference keep their payload and
+    stay where they are: in the join all of them would meet in the task of the null key.
     """
-    asked = slimmed.filter(F.col("payloadRef").isNotNull()).select("payloadRef").distinct()
+    kept, moved = slimmed.filter(F.col("payloadRef").isNull()), slimmed.filter(F.col("payloadRef").isNotNull())
+    asked = moved.select("payloadRef").distinct()
     stored = store.select("payloadRef", F.col("payload").alias("_stored")).join(asked, "payloadRef", "left_semi")
     once = stored.groupBy("payloadRef").agg(F.first("_stored").alias("_stored"))
-    joined = slimmed.join(once, "payloadRef", "left")
+    joined = moved.join(once, "payloadRef", "left")
     filled = joined.withColumn("payload", F.coalesce("payload", "_stored")).drop("_stored")
-    return filled.select(*slimmed.columns)
+    return kept.unionByName(filled.select(*slimmed.columns))
 
 
 def slim(planned: DataFrame) -> DataFrame:
