@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from waybill.functions import failures
 from waybill.operators.joins import salted_join
-from waybill.operators.parse import JSON, XML, parse_payloads
+from waybill.operators.parse import JSON, XML, parse_failures, parse_payloads
 
 
 def parsed(df):
@@ -71,3 +71,11 @@ def test_salted_join_with_maps_and_variants(spark):
     )
     right = spark.createDataFrame([(1, "one")], "k int, name string")
     assert salted_join(left, right, ["k"]).filter("name = 'one'").count() == 200
+
+
+def test_failures_are_found_without_a_second_reading(spark, messages):
+    df = messages({"payload": "<a>é</a>", "format": "XML"}, {"payload": "<a>", "format": "XML"}, {"payload": "", "format": "XML"})
+    failed = parse_failures(parse_payloads(df, (JSON, XML)))
+    nodes = [n for n in failed._jdf.queryExecution().executedPlan().toString().splitlines() if "ArrowEvalPython" in n.split("[")[0]]
+    assert len(nodes) == 1
+    assert sorted(r["originalPayload"] for r in failed.collect()) == ["", "<a>"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from xml.parsers import expat
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType
@@ -138,11 +138,17 @@ def variant_of_json(text: Column) -> Column:
     return F.from_json(text, "variant", _JSON_OPTIONS)
 
 
-@F.pandas_udf(StringType())
-def xml_json(text: pd.Series) -> pd.Series:
+@F.arrow_udf(StringType())
+def xml_json(text: pa.Array) -> pa.Array:
     """``{root: value}`` of each XML document as JSON text; null for malformed or missing text.
 
     Built-in ``from_xml`` types the leaves and drops the root label, so the full document shape needs
-    an Arrow-batched function. Pass null for rows that are not XML: they cost nothing here.
+    an Arrow-batched function. Pass null for rows that are not XML: they cost nothing here. Only one document of a
+    batch is held as Python text at a time.
     """
-    return text.map(_xml_to_json, na_action="ignore")
+    return pa.array((None if t is None else _xml_to_json(t) for t in (v.as_py() for v in text)), pa.string())
+
+
+# Or a filter on what was parsed is worked out below the parser too, in a second Python worker of every task that reads
+# every document once more. Filters on headers belong in front of the parser.
+xml_json = xml_json.asNondeterministic()
