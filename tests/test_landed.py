@@ -3,6 +3,7 @@
 import json
 import threading
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -133,3 +134,20 @@ def test_bad_sizes_are_refused(spark):
     with pytest.raises(Exception, match="batchSize must be positive"):
         stream = landed.stream_landed(spark, shared_dir(spark, "landed"), 0)
         landed.caught_up(stream.writeStream.format("noop").option("checkpointLocation", shared_dir(spark, "c")).start())
+
+
+def test_a_batch_reads_no_more_than_its_row_groups(spark, load, monkeypatch):
+    """However large a load is, its files and their row groups are bounded, and rows stay in order across them."""
+    monkeypatch.setattr(landed, "GROUP_ROWS", 100)
+    monkeypatch.setattr(landed, "FILE_ROWS", 300)
+    path, out = shared_dir(spark, "landed"), shared_dir(spark, "out")
+    landed.land(load(0, 5_000, "A").coalesce(1), path)
+    files = landed.loads(spark, path).select(F.explode("files").alias("f")).select("f.*").collect()
+    assert sum(r["rows"] for r in files) == 5_000 and max(r["rows"] for r in files) <= 300
+    for r in files:
+        meta = pq.ParquetFile(f"{path}/{r['file']}".removeprefix("file:")).metadata
+        assert max(meta.row_group(k).num_rows for k in range(meta.num_row_groups)) <= 100
+    got = batches(spark, path, out, 1_250)
+    assert [i for batch in sorted(got) for _, i in got[batch]] == list(range(5_000, 0, -1))
+    names = [f"load=a/queueName=A/part-{t:05d}-u.c{c:03d}.snappy.parquet" for t in (0, 1) for c in (0, 999, 1000)]
+    assert sorted(reversed(names), key=landed._numbers) == names

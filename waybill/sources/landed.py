@@ -8,6 +8,7 @@ per queue. Nothing depends on the clocks or names of files.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Iterator
 from urllib.parse import unquote, urlparse
@@ -27,6 +28,9 @@ FORMAT = "waybill_landed"
 _ENTRY = "load string, files array<struct<queue: string, file: string, rows: bigint>>"
 #: Rows that one task of a micro-batch reads at most.
 TASK_ROWS = 50_000
+#: Rows of a row group and of a file. A micro-batch decodes its first row group from the beginning and reads the footer
+#: of its file, so both are bounded whatever the size of a load.
+GROUP_ROWS, FILE_ROWS = 10_000, 200_000
 
 
 def land(messages: DataFrame, path: str) -> int:
@@ -38,9 +42,10 @@ def land(messages: DataFrame, path: str) -> int:
     spark = messages.sparkSession
     load = f"load={uuid.uuid4().hex}"
     laid = messages.repartitionByRange(*ORDER).sortWithinPartitions(*ORDER)
-    laid.write.partitionBy("queueName").parquet(f"{path}/{load}")
+    writer = laid.write.partitionBy("queueName").option("maxRecordsPerFile", FILE_ROWS)
+    writer.option("parquet.block.row.count.limit", GROUP_ROWS).parquet(f"{path}/{load}")
     schema = StructType([f for f in messages.schema.fields if f.name != "queueName"])
-    # Reads footers only. The file name's number is the task's, and with it the range's.
+    # Reads footers only. The file name's first number is the task's, and with it the range's, its last one the file's.
     counted = (
         spark.read.schema(schema)
         .parquet(f"{path}/{load}/*")
@@ -52,13 +57,20 @@ def land(messages: DataFrame, path: str) -> int:
         folder, name = unquote(urlparse(row["file"]).path).rsplit("/", 2)[1:]
         # A Hive folder name is escaped once more.
         files.append({"queue": unquote(folder.split("=", 1)[1]), "file": f"{load}/{folder}/{name}", "rows": row["rows"]})
-    files.sort(key=lambda f: (f["queue"], f["file"].rsplit("/", 1)[1]))
+    files.sort(key=lambda f: (f["queue"], *_numbers(f["file"])))
     while True:
         version = latest_version(loads(spark, path)) + 1
         if put_entry(spark, f"{path}/{LOADS}", version, {"load": load, "files": files}):
             return version
 
 
+def _numbers(file: str) -> tuple[int, int, str]:
+    """Task and number of a file among those that the task wrote for the queue."""
+    name = file.rsplit("/", 1)[1]
+    task, count = re.match(r"part-(\d+)", name), re.search(r"\.c(\d+)\.", name)
+    return int(task[1]) if task else 0, int(count[1]) if count else 0, name
+
+
 def loads(spark: SparkSession, path: str) -> DataFrame:
     """``version, load, files`` of every load."""
     return read_entries(spark, f"{path}/{LOADS}", _ENTRY)
