@@ -2,6 +2,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -79,3 +80,67 @@ def test_every_position_is_trained_on(make):
     finally:
         lm.Trainer = before
     assert taken.value == 1 + 2 + 3 + 5001
+
+
+def test_tokens_are_split_at_ascii_white_space_alone():
+    texts = ["", " a  B\tc\x0b\x0cA\r\n", "\x1cx\x85y  z ÄÖ A", "\n ", "a"]
+    found = lm.tokens_of(pa.array(["z", *texts]).slice(1))
+    for text, begin, n in zip(texts, found.starts, found.sizes, strict=True):
+        assert [found.distinct[i] for i in found.index[begin : begin + n]] == [*text.encode().lower().split(), b""]
+    classes = np.arange(len(found.index), dtype=np.int32)
+    places = [(begin, at) for begin, n in zip(found.starts, found.sizes, strict=True) for at in range(begin, begin + n)]
+    before = [[at - 1 - k if at - 1 - k >= begin else lm.CLASSES for k in range(lm.CONTEXT)] for begin, at in places]
+    assert lm.contexts(classes, found.sizes).tolist() == before
+
+
+def test_words_are_classed_once_for_many_texts(make):
+    docs = make([(1, "one two " * 2000, "en", "s", 0), (2, "word " * 5000, "en", "s", 0)]).coalesce(1)
+    classed = docs.sparkSession.sparkContext.accumulator(0)
+
+    class Counted(lm.Classer):
+        def __call__(self, words):
+            classed.add(len(words))
+            return super().__call__(words)
+
+    before, lm.Classer = lm.Classer, Counted
+    try:
+        assert [r.n_tokens for r in lm.score(docs, F.lit(True)).orderBy("doc_id").collect()] == [4001, 5001]
+    finally:
+        lm.Classer = before
+    # Four tokens, for training and for scoring.
+    assert classed.value == 8
+
+
+@pytest.mark.parametrize("scale", [1, 40])
+def test_large_scores_are_normalised_too(scale):
+    draw = np.random.default_rng(3)
+    model = lm.Bilinear(lm.Bilinear.start(draw.random(lm.CLASSES)) * scale)
+    context, target = draw.integers(0, lm.CLASSES + 1, (64, lm.CONTEXT)), draw.integers(0, lm.CLASSES, 64)
+    scores = model.predicted(context).astype(float) @ model.targets.T + model.bias
+    top = scores.max(axis=1)
+    want = scores[np.arange(64), target] - top - np.log(np.exp(scores - top[:, None]).sum(axis=1))
+    assert model.log_probabilities(context, target) == pytest.approx(want, rel=1e-5, abs=1e-4)
+
+
+def test_step_follows_the_gradient_of_every_draw():
+    draw = np.random.default_rng(5)
+    unigram = np.r_[0.9, np.full(lm.CLASSES - 1, 0.1 / (lm.CLASSES - 1))]  # one class is drawn again and again
+    trainer = lm.Trainer(lm.Bilinear.start(unigram), unigram, 1)
+    flat, twin = trainer.model.flat.astype(float), np.random.default_rng(1)
+    noise = np.minimum(np.searchsorted(trainer.cumulative, twin.random(lm.NOISE)), lm.CLASSES - 1)
+    context, target = draw.integers(0, lm.CLASSES + 1, (50, lm.CONTEXT)), draw.integers(0, 9, 50)
+
+    def gain(x):
+        m = lm.Bilinear(x)
+        q = sum(m.words[context[:, k]] * m.place[k] for k in range(lm.CONTEXT))
+        own = (q * m.targets[target]).sum(axis=1) + m.bias[target] - np.log(unigram[target] * lm.NOISE)
+        false = q @ m.targets[noise].T + m.bias[noise] - np.log(unigram[noise] * lm.NOISE)
+        return -np.log1p(np.exp(-own)).sum() - np.log1p(np.exp(false)).sum()
+
+    trainer.step(context, target)
+    places = draw.choice(len(flat), 40, replace=False).tolist() + [(lm.CLASSES + 1) * lm.SIZE + 3, len(flat) - lm.CLASSES]
+    for at in places:
+        near = np.zeros_like(flat)
+        near[at] = 1e-4
+        slope = (gain(flat + near) - gain(flat - near)) / 2e-4 / 64
+        assert trainer.model.flat[at] - flat[at] == pytest.approx(lm.STEP * slope / math.sqrt(1e-2 + slope**2), rel=2e-2, abs=2e-4)
