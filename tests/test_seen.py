@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from waybill.session import shared_dir
 from waybill.sources import messages as tables
 from waybill.streaming import ingest
+from waybill.streaming import seen as seen_module
 from waybill.streaming.seen import Seen, deduplicate_each_batch
 
 DAY = 86_400_000
@@ -80,3 +81,29 @@ def test_rows_without_an_id_stay(spark, messages):
     rows = messages({"id": 1}, {"id": 2}).withColumn("messageIdHex", F.lit(None).cast("string"))
     seen.remember(rows, 0)
     assert seen.unseen(rows, 1).count() == 2
+
+
+@pytest.mark.parametrize("sent", [0, seen_module.SENT_BYTES])
+def test_filters_of_either_size_suspect_what_was_seen(spark, messages, monkeypatch, sent):
+    monkeypatch.setattr(seen_module, "SENT_BYTES", sent)
+    seen = Seen(shared_dir(spark, "seen"), 3, 2)
+    seen.remember(messages(*[{"id": i} for i in range(1, 41)]), 0)
+    ids = messages(*[{"id": i} for i in range(21, 221)]).select(F.col("messageIdHex").alias("id"))
+    old = {r["messageIdHex"] for r in messages(*[{"id": i} for i in range(21, 41)]).collect()}
+    got = [r["id"] for r in seen.suspects(ids, 1).collect()]
+    assert old <= set(got) and len(got) == len(set(got)) < 40
+
+
+def test_probes_of_a_batch_are_not_shuffled(spark, messages):
+    """Bits are looked up where an id is: neither one row for each bit nor a group by id."""
+    seen = Seen(shared_dir(spark, "seen"), 3)
+    seen.remember(messages(*[{"id": i} for i in range(1, 41)]), 0)
+    rows = messages({"id": 7}, {"id": 70})
+    found = seen.unseen(rows, 1)
+    assert [r["messageIdHex"] for r in found.collect()] == [rows.collect()[1]["messageIdHex"]]
+    # What comes back is written, so that remembering it reads neither the batch nor the filter again.
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "Exchange" not in plan and "InMemoryTableScan" not in plan
+    ids = rows.select(F.col("messageIdHex").alias("id"))
+    probing = seen.suspects(ids, 1)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in probing
