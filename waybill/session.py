@@ -30,6 +30,11 @@ RUNTIME_CONF = {
     ),
 }
 
+#: How streams write the files of their checkpoints. Spark's default renames them through FileContext, which asks for links
+#: on the way: on a local disk without Hadoop's native library each of these is a process, eight for one file.
+CHECKPOINT_FILES = "spark.sql.streaming.checkpointFileManagerClass"
+_BY_FILE_SYSTEM = "org.apache.spark.sql.execution.streaming.checkpointing.FileSystemBasedCheckpointFileManager"
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else built."""
@@ -37,9 +42,23 @@ def prepare(spark: SparkSession) -> SparkSession:
     cloudpickle.register_pickle_by_value(waybill)
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    # Both ways look for the name and then rename on a local disk. Other stores keep the default, which is stricter there.
+    if spark.conf.get(CHECKPOINT_FILES, None) is None and _on_local_disk(spark) and _has_class(spark, _BY_FILE_SYSTEM):
+        spark.conf.set(CHECKPOINT_FILES, _BY_FILE_SYSTEM)
     return spark
 
 
+def _on_local_disk(spark: SparkSession) -> bool:
+    """Whether working folders, and with them the checkpoints of the queries, are on a local disk."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    files = spark._jvm.org.apache.hadoop.fs.Path(base).getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.getUri().getScheme() == "file"
+
+
+def _has_class(spark: SparkSession, name: str) -> bool:
+    return bool(spark._jvm.org.apache.spark.util.Utils.classIsLoadable(name))
+
+
 def build_session(app: str = "waybill", cores: str = "*", memory: str = "8g") -> SparkSession:
     """Local session for tests and benchmarks; on a cluster use spark-submit and ``prepare``."""
     spark = (
